@@ -36,10 +36,7 @@ def read_raw_stream(
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """The same parse for text that is already in a column.
-
-    Unlike the file reader this gives null for every field of a corrupt record.
-    """
+    """The same parse for text that is already in a column."""
     parsed = lines.select(F.from_json(column, RAW_SCHEMA, PARSER).alias("record"))
     return parsed.select("record.*")
 
