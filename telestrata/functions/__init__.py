@@ -1,6 +1,7 @@
 from telestrata.functions.expressions import (
     bucket_of,
     exact_mean,
+    exact_mean_sql,
     flag_count,
     outside,
     ratio,
@@ -10,6 +11,7 @@ from telestrata.functions.expressions import (
 __all__ = [
     "bucket_of",
     "exact_mean",
+    "exact_mean_sql",
     "flag_count",
     "outside",
     "ratio",

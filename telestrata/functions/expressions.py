@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def outside(value: Column, low: float, high: float) -> Column:
+def outside(column: str, low: float, high: float) -> Column:
     """True outside the closed range, null for null; NaN is above every limit."""
-    return ~value.between(F.lit(low), F.lit(high))
+    return F.expr(f"NOT {column} BETWEEN {float(low)!r}D AND {float(high)!r}D")
 
 
 def flag_count(flag: str | Column) -> Column:
@@ -22,21 +22,25 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole)
 
 
-def exact_mean(value: Column, places: int) -> Column:
-    """Mean of a column that is already rounded to ``places`` decimals.
+def exact_mean(value: str, places: int) -> Column:
+    """Mean of a SQL expression whose values are already rounded to ``places``.
 
     Summing doubles depends on the order in which partitions merge, and a mean
     that lies on a rounding tie then changes between runs. The values are summed
     as integers of the last decimal place instead, which is order-free. Values
     that do not fit (NaN, infinity, very large) fall back to the plain mean.
     """
+    return F.expr(exact_mean_sql(value, places))
+
+
+def exact_mean_sql(value: str, places: int) -> str:
     scale = 10**places
-    units = F.when(F.abs(value) < F.lit(1e9), F.round(value * scale).cast("bigint"))
-    exact = F.when(
-        F.count(value) == F.count(units),
-        F.try_divide(F.try_sum(units).cast("double"), F.count(units) * F.lit(scale)),
+    units = f"CASE WHEN abs({value}) < 1e9D THEN bigint(round({value} * {scale})) END"
+    return (
+        f"coalesce(CASE WHEN count({value}) = count({units}) "
+        f"THEN try_divide(double(try_sum({units})), count({units}) * {scale}) END, "
+        f"try_divide(sum({value}), count({value})))"
     )
-    return F.coalesce(exact, F.avg(value))
 
 
 def whole_seconds_between(start: str, end: str) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import operator
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -21,24 +19,21 @@ def normalize_units(df: DataFrame, null_safe: bool = False) -> DataFrame:
     ``least`` and ``greatest`` skip nulls, so a missing humidity becomes 100 by
     default; ``null_safe=True`` keeps it missing.
     """
-    humidity = F.col("humidity")
-    clamped = F.greatest(F.lit(0.0), F.least(humidity, F.lit(100.0)))
+    clamped = "greatest(0.0D, least(humidity, 100.0D))"
     if null_safe:
-        clamped = F.when(humidity.isNotNull(), clamped)
-    return df.withColumn("humidity", clamped)
+        clamped = f"CASE WHEN humidity IS NOT NULL THEN {clamped} END"
+    return df.withColumn("humidity", F.expr(clamped))
 
 
 def tag_anomalies(df: DataFrame, config: Config = None) -> DataFrame:
     """Per-sensor range flags, their three-valued OR, and the joined reasons."""
     sensors = Settings.of(config).sensors
-    flagged = df.withColumns(
-        {s.flag: outside(F.col(s.column), s.low, s.high) for s in sensors}
-    )
-    reasons = F.concat_ws(", ", *[F.when(F.col(s.flag), F.lit(s.reason)) for s in sensors])
+    flagged = df.withColumns({s.flag: outside(s.column, s.low, s.high) for s in sensors})
+    reasons = ", ".join(f"CASE WHEN {s.flag} THEN '{s.reason}' END" for s in sensors)
     return flagged.withColumns(
         {
-            "_is_anomaly": functools.reduce(operator.or_, [F.col(s.flag) for s in sensors]),
-            "_anomaly_details": F.nullif(reasons, F.lit("")),
+            "_is_anomaly": F.expr(" OR ".join(s.flag for s in sensors)),
+            "_anomaly_details": F.expr(f"nullif(concat_ws(', ', {reasons}), '')"),
         }
     )
 
@@ -47,7 +42,7 @@ def add_zscores(df: DataFrame, config: Config = None) -> DataFrame:
     """Distance from the expected mean in expected deviations, two decimals."""
     return df.withColumns(
         {
-            s.zscore: F.round(F.try_divide(F.col(s.column) - s.mean, F.lit(s.stddev)), 2)
+            s.zscore: F.expr(f"round(try_divide({s.column} - {s.mean!r}D, {s.stddev!r}D), 2)")
             for s in Settings.of(config).sensors
         }
     )
@@ -56,12 +51,11 @@ def add_zscores(df: DataFrame, config: Config = None) -> DataFrame:
 def add_quality_score(df: DataFrame, config: Config = None) -> DataFrame:
     """Share of filled optional fields, reduced when the row is anomalous."""
     settings = Settings.of(config)
-    filled = functools.reduce(
-        operator.add, [F.col(c).isNotNull().cast("int") for c in settings.optional_fields]
-    )
-    factor = F.when(F.col("_is_anomaly"), settings.anomaly_penalty).otherwise(1.0)
-    completeness = filled / F.lit(float(len(settings.optional_fields)))
-    return df.withColumn("_quality_score", F.round(completeness * factor, 4))
+    fields = settings.optional_fields
+    filled = " + ".join(f"int(`{c}` IS NOT NULL)" for c in fields)
+    factor = f"CASE WHEN _is_anomaly THEN {float(settings.anomaly_penalty)!r}D ELSE 1.0D END"
+    score = F.expr(f"round(double({filled}) / {len(fields)} * {factor}, 4)")
+    return df.withColumn("_quality_score", score)
 
 
 def only_anomalies(df: DataFrame) -> DataFrame:

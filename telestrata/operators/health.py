@@ -75,11 +75,11 @@ def most_common_tier() -> Column:
 def device_rollup(device_health: DataFrame) -> DataFrame:
     """Health of each device over all its windows."""
     return device_health.groupBy("device_id").agg(
-        exact_mean(F.col("health_score"), 4).alias("avg_health"),
+        exact_mean("health_score", 4).alias("avg_health"),
         F.min("health_score").alias("min_health"),
-        exact_mean(F.col("anomaly_rate"), 4).alias("avg_anomaly_rate"),
-        exact_mean(F.col("avg_battery_level"), 2).alias("avg_battery"),
-        exact_mean(F.col("avg_quality_score"), 4).alias("avg_quality"),
+        exact_mean("anomaly_rate", 4).alias("avg_anomaly_rate"),
+        exact_mean("avg_battery_level", 2).alias("avg_battery"),
+        exact_mean("avg_quality_score", 4).alias("avg_quality"),
         most_common_tier().alias("risk_tier"),
     )
 
@@ -133,7 +133,7 @@ def risk_tiers(device_health: DataFrame) -> DataFrame:
 
 def health_stats(device_health: DataFrame) -> DataFrame:
     return device_health.agg(
-        exact_mean(F.col("health_score"), 4).alias("mean_health"),
+        exact_mean("health_score", 4).alias("mean_health"),
         F.min("health_score").alias("min_health"),
         F.max("health_score").alias("max_health"),
     )
@@ -147,7 +147,7 @@ def kpis(
         F.sum("total_anomaly_count").cast("double").alias("total_anomalies")
     )
     health = device_health.agg(
-        exact_mean(F.col("health_score"), 4).alias("avg_health"),
+        exact_mean("health_score", 4).alias("avg_health"),
         F.count_if(F.col("risk_tier") == "critical").cast("double").alias("critical_windows"),
     )
     wait = median_whole_number(latency, "_latency_sec").select(

@@ -47,7 +47,7 @@ def silver_profile(silver: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_rows"),
         F.count_distinct("device_id").alias("distinct_devices"),
         flag_count("_is_anomaly").alias("anomaly_count"),
-        exact_mean(F.col("_quality_score"), 4).alias("avg_quality_score"),
+        exact_mean("_quality_score", 4).alias("avg_quality_score"),
         F.min("_quality_score").alias("min_quality_score"),
     )
 
@@ -125,7 +125,7 @@ def dq_summary(bronze: DataFrame, silver: DataFrame, gold: Mapping[str, DataFram
             {
                 "clean_records": total - anomalies,
                 "anomalous_records": anomalies,
-                "avg_quality_score": F.round(exact_mean(F.col("_quality_score"), 4), 4),
+                "avg_quality_score": F.round(exact_mean("_quality_score", 4), 4),
             },
         ),
     ]
@@ -174,7 +174,7 @@ def device_abs_z(silver: DataFrame, config: Config = None) -> DataFrame:
     """Mean absolute z-score of each sensor per device."""
     return silver.groupBy("device_id").agg(
         *[
-            exact_mean(F.abs(F.col(s.zscore)), 2).alias(f"avg_abs_{s.column}_z")
+            exact_mean(f"abs({s.zscore})", 2).alias(f"avg_abs_{s.column}_z")
             for s in Settings.of(config).sensors
         ]
     )

@@ -12,11 +12,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telestrata.functions import exact_mean, flag_count, ratio
+from telestrata.functions import exact_mean_sql
 from telestrata.settings import Settings
 
 Config = Settings | Mapping | None
 KEYS = ("device_id", "window_start", "window_end")
+BATTERY = (("avg", "mean"), ("min", "min"), ("max", "max"))
+RATE = "try_divide(double(any_n), n)"
 
 
 def window_stats(
@@ -25,26 +27,24 @@ def window_stats(
     """Wide unrounded aggregate per ``(device_id, window)``."""
     settings = Settings.of(config)
     duration = window or settings.window_duration
-    measures = [F.count(F.lit(1)).alias("n"), flag_count("_is_anomaly").alias("any_n")]
+    measures = ["count(1) AS n", "count_if(_is_anomaly) AS any_n"]
     for s in settings.sensors:
-        value, zscore = F.col(s.column), F.abs(F.col(s.zscore))
+        distance = f"abs({s.zscore})"
         measures += [
-            F.avg(value).alias(f"{s.short}_mean"),
-            F.stddev(value).alias(f"{s.short}_sd"),
-            F.min(value).alias(f"{s.short}_min"),
-            F.max(value).alias(f"{s.short}_max"),
-            flag_count(s.flag).alias(f"{s.short}_n"),
-            exact_mean(zscore, 2).alias(f"{s.short}_z_mean"),
-            F.max(zscore).alias(f"{s.short}_z_max"),
+            f"avg({s.column}) AS {s.short}_mean",
+            f"stddev({s.column}) AS {s.short}_sd",
+            f"min({s.column}) AS {s.short}_min",
+            f"max({s.column}) AS {s.short}_max",
+            f"count_if({s.flag}) AS {s.short}_n",
+            f"{exact_mean_sql(distance, 2)} AS {s.short}_z_mean",
+            f"max({distance}) AS {s.short}_z_max",
         ]
-    battery, quality = F.col("battery_level"), F.col("_quality_score")
+    measures += [f"{m}(battery_level) AS battery_{f}" for m, f in BATTERY]
     measures += [
-        F.avg(battery).alias("battery_mean"),
-        F.min(battery).alias("battery_min"),
-        F.max(battery).alias("battery_max"),
-        exact_mean(quality, 4).alias("quality_mean"),
-        F.min(quality).alias("quality_min"),
+        f"{exact_mean_sql('_quality_score', 4)} AS quality_mean",
+        "min(_quality_score) AS quality_min",
     ]
+    measures = [F.expr(m) for m in measures]
     bucket = F.window("timestamp", duration)
     if silver.isStreaming:
         # The watermark travels on the window struct, so a stream groups by it.
@@ -68,40 +68,33 @@ def window_stats(
     )
 
 
-def anomaly_rate() -> Column:
-    return ratio(F.col("any_n"), F.col("n"))
-
-
 def project_device_summary(stats: DataFrame) -> DataFrame:
-    def two(name: str, alias: str) -> Column:
-        return F.round(name, 2).alias(alias)
-
-    return stats.select(
+    means = {
+        "avg_temperature": "temp_mean",
+        "stddev_temperature": "temp_sd",
+        "min_temperature": "temp_min",
+        "max_temperature": "temp_max",
+        "avg_humidity": "hum_mean",
+        "avg_pressure": "pres_mean",
+        "avg_battery_level": "battery_mean",
+    }
+    return stats.selectExpr(
         *KEYS,
-        F.col("n").alias("event_count"),
-        two("temp_mean", "avg_temperature"),
-        two("temp_sd", "stddev_temperature"),
-        two("temp_min", "min_temperature"),
-        two("temp_max", "max_temperature"),
-        two("hum_mean", "avg_humidity"),
-        two("pres_mean", "avg_pressure"),
-        two("battery_mean", "avg_battery_level"),
-        F.col("any_n").alias("anomaly_count"),
-        F.round(anomaly_rate(), 4).alias("anomaly_rate"),
-        F.round("quality_mean", 4).alias("avg_quality_score"),
+        "n AS event_count",
+        *[f"round({value}, 2) AS {name}" for name, value in means.items()],
+        "any_n AS anomaly_count",
+        f"round({RATE}, 4) AS anomaly_rate",
+        "round(quality_mean, 4) AS avg_quality_score",
     )
 
 
 def project_anomaly_summary(stats: DataFrame, config: Config = None) -> DataFrame:
-    return stats.select(
+    return stats.selectExpr(
         *KEYS,
-        F.col("n").alias("total_events"),
-        *[
-            F.col(f"{s.short}_n").alias(f"{s.label}_anomaly_count")
-            for s in Settings.of(config).sensors
-        ],
-        F.col("any_n").alias("total_anomaly_count"),
-        F.round(anomaly_rate(), 4).alias("anomaly_rate"),
+        "n AS total_events",
+        *[f"{s.short}_n AS {s.label}_anomaly_count" for s in Settings.of(config).sensors],
+        "any_n AS total_anomaly_count",
+        f"round({RATE}, 4) AS anomaly_rate",
     )
 
 
@@ -111,56 +104,54 @@ def project_device_health(stats: DataFrame, config: Config = None) -> DataFrame:
     Without any battery reading the score is null and the tier ``critical``.
     """
     settings = Settings.of(config)
+    quality, anomaly, battery = (
+        f"{float(w)!r}D"
+        for w in (settings.quality_weight, settings.anomaly_weight, settings.battery_weight)
+    )
     score = (
-        F.lit(settings.quality_weight) * F.col("quality_mean")
-        + F.lit(settings.anomaly_weight) * (F.lit(1.0) - anomaly_rate())
-        + F.lit(settings.battery_weight) * (F.col("battery_mean") / F.lit(100.0))
+        f"{quality} * quality_mean + {anomaly} * (1.0D - {RATE}) "
+        f"+ {battery} * (battery_mean / 100.0D)"
     )
-    scored = stats.withColumn("health_score", F.round(score, 4))
-    return scored.select(
+    scored = stats.selectExpr(
         *KEYS,
-        F.col("n").alias("event_count"),
-        F.round("quality_mean", 4).alias("avg_quality_score"),
-        F.round(anomaly_rate(), 4).alias("anomaly_rate"),
-        F.round("battery_mean", 2).alias("avg_battery_level"),
-        "health_score",
-        risk_tier(F.col("health_score"), settings).alias("risk_tier"),
+        "n AS event_count",
+        "round(quality_mean, 4) AS avg_quality_score",
+        f"round({RATE}, 4) AS anomaly_rate",
+        "round(battery_mean, 2) AS avg_battery_level",
+        f"round({score}, 4) AS health_score",
     )
+    return scored.withColumn("risk_tier", risk_tier("health_score", settings))
 
 
-def risk_tier(score: Column, settings: Settings) -> Column:
-    return (
-        F.when(score >= settings.healthy_from, "healthy")
-        .when(score >= settings.warning_from, "warning")
-        .otherwise("critical")
+def risk_tier(score: str, settings: Settings) -> Column:
+    return F.expr(
+        f"CASE WHEN {score} >= {float(settings.healthy_from)!r}D THEN 'healthy' "
+        f"WHEN {score} >= {float(settings.warning_from)!r}D THEN 'warning' "
+        "ELSE 'critical' END"
     )
 
 
 def project_ml_features(stats: DataFrame, config: Config = None) -> DataFrame:
     sensors = Settings.of(config).sensors
-
-    def four(source: str | Column, alias: str) -> Column:
-        return F.round(source, 4).alias(alias)
-
-    columns: list[Column] = [F.col("n").alias("event_count")]
-    for s in sensors:
-        low, high = F.round(f"{s.short}_min", 4), F.round(f"{s.short}_max", 4)
-        columns += [
-            four(f"{s.short}_mean", f"{s.short}_mean"),
-            four(f"{s.short}_sd", f"{s.short}_stddev"),
-            low.alias(f"{s.short}_min"),
-            high.alias(f"{s.short}_max"),
-            four(high - low, f"{s.short}_range"),
-        ]
-    columns += [four(f"battery_{m}", f"battery_{m}") for m in ("mean", "min", "max")]
-    columns += [F.col("any_n").alias("anomaly_count"), four(anomaly_rate(), "anomaly_rate")]
-    columns += [F.col(f"{s.short}_n").alias(f"{s.short}_anomaly_count") for s in sensors]
-    columns += [four(f"quality_{m}", f"quality_{m}") for m in ("mean", "min")]
-    for s in sensors:
+    columns = ["n AS event_count"]
+    for p in (s.short for s in sensors):
         columns += [
-            four(f"{s.short}_z_{m}", f"{s.short}_zscore_abs_{m}") for m in ("mean", "max")
+            f"round({p}_mean, 4) AS {p}_mean",
+            f"round({p}_sd, 4) AS {p}_stddev",
+            f"round({p}_min, 4) AS {p}_min",
+            f"round({p}_max, 4) AS {p}_max",
+            f"round(round({p}_max, 4) - round({p}_min, 4), 4) AS {p}_range",
         ]
-    return stats.select(*KEYS, *columns)
+    columns += [f"round(battery_{f}, 4) AS battery_{f}" for _, f in BATTERY]
+    columns += ["any_n AS anomaly_count", f"round({RATE}, 4) AS anomaly_rate"]
+    columns += [f"{s.short}_n AS {s.short}_anomaly_count" for s in sensors]
+    columns += [f"round(quality_{f}, 4) AS quality_{f}" for f in ("mean", "min")]
+    columns += [
+        f"round({s.short}_z_{f}, 4) AS {s.short}_zscore_abs_{f}"
+        for s in sensors
+        for f in ("mean", "max")
+    ]
+    return stats.selectExpr(*KEYS, *columns)
 
 
 def compute_device_summary(silver: DataFrame, window: str = "1 hour") -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # UTC keeps event times and windows equal on every machine; the RocksDB state
-# store keeps deduplication state off the JVM heap.
+# store keeps deduplication state off the JVM heap. Recording the Python call site
+# of every expression costs more than it tells in plans this wide.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

@@ -15,40 +15,35 @@ from telestrata.schema import TELEMETRY_COLUMNS
 JSON_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string"
+)
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def telemetry_base(events: DataFrame) -> DataFrame:
     """One telemetry row per event, with ingestion columns."""
-    eid, value = F.col("event_id"), F.col("value")
-
-    def every(n: int) -> Column:
-        return eid % n == 0
-
-    device = F.concat(F.lit("device-"), F.lpad(F.col("user_id").cast("string"), 4, "0"))
-    return events.select(
-        F.when(~every(53), device).alias("device_id"),
-        F.col("ts").alias("timestamp"),
-        F.when(F.col("event_type") != "signup", value - 60.0).alias("temperature"),
-        F.when(~every(11), value - 20.0).alias("humidity"),
-        (value + 880.0).alias("pressure"),
-        F.when(~every(13), F.get_json_object("props", "$.k").cast("double")).alias(
-            "battery_level"
-        ),
-        F.col("event_type").alias("location"),
-        F.when(F.col("event_type") != "error", F.lit("1.0.0")).alias("firmware_version"),
-        F.when(every(97), F.concat(F.lit("not json "), eid.cast("string"))).alias(
-            "_corrupt_record"
-        ),
-        (F.col("ts") + F.make_dt_interval(secs=(eid % 600).cast("decimal(18,6)"))).alias(
-            "_ingested_at"
-        ),
-        F.concat(F.lit("landing/"), F.date_format("ts", "yyyy-MM-dd")).alias("_source_file"),
+    return events.selectExpr(
+        "CASE WHEN event_id % 53 <> 0 "
+        "THEN concat('device-', lpad(string(user_id), 4, '0')) END AS device_id",
+        "ts AS timestamp",
+        "CASE WHEN event_type <> 'signup' THEN value - 60.0D END AS temperature",
+        "CASE WHEN event_id % 11 <> 0 THEN value - 20.0D END AS humidity",
+        "880.0D + value AS pressure",
+        "CASE WHEN event_id % 13 <> 0 "
+        "THEN double(get_json_object(props, '$.k')) END AS battery_level",
+        "event_type AS location",
+        "CASE WHEN event_type <> 'error' THEN '1.0.0' END AS firmware_version",
+        "CASE WHEN event_id % 97 = 0 "
+        "THEN concat('not json ', string(event_id)) END AS _corrupt_record",
+        "ts + make_dt_interval(0, 0, 0, event_id % 600) AS _ingested_at",
+        "concat('landing/', string(date(ts))) AS _source_file",
         # Every tenth event was sent twice.
-        F.when(every(10), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))).alias(
-            "_copies"
-        ),
+        "CASE WHEN event_id % 10 = 0 THEN array(0, 1) ELSE array(0) END AS _copies",
     )
 
 
@@ -60,8 +55,7 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
 
 def replayed_stamp() -> Column:
     """A Silver stamp that depends on the row, not on the clock."""
-    delay = (F.second("timestamp") + 1).cast("decimal(18,6)")
-    return F.col("_ingested_at") + F.make_dt_interval(secs=delay)
+    return F.expr("_ingested_at + make_dt_interval(0, 0, 0, second(timestamp) + 1)")
 
 
 def landing_lines(bronze: DataFrame) -> DataFrame:

@@ -74,10 +74,20 @@ def commit(
 
 
 def _log(spark, path, version, operation, amounts, folders) -> Row:
-    values = (version, datetime.now(timezone.utc), operation, *amounts, folders)
-    row = spark.createDataFrame([values], HISTORY_SCHEMA)
-    row.coalesce(1).write.mode("append").json(f"{path}/history")
-    return row.first()
+    entry = Row(
+        version=version,
+        committed_at=datetime.now(timezone.utc),
+        operation=operation,
+        row_count=amounts[0],
+        num_files=amounts[1],
+        num_bytes=amounts[2],
+        folders=folders,
+    )
+    one = spark.range(1, numPartitions=1).select(
+        *[F.lit(value).alias(name) for name, value in entry.asDict().items()]
+    )
+    one.write.mode("append").json(f"{path}/history")
+    return entry
 
 
 def read_version(
