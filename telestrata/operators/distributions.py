@@ -115,14 +115,15 @@ def median_whole_number(df: DataFrame, value: str, bucket: int = 4096) -> DataFr
     than the bucket totals or the distinct values of two buckets, whatever the
     number of rows.
     """
+    # Both uses of ``counts`` keep the same filters, so Spark runs it once.
     counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("bigint").alias("v"))
+        df.select(F.col(value).cast("bigint").alias("v"))
+        .withColumn("b", F.floor(F.col("v") / bucket))
+        .where(F.col("v").isNotNull() & F.col("b").isNotNull())
+        .groupBy("b", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    coarse = counts.groupBy(F.floor(F.col("v") / bucket).alias("b")).agg(
-        F.sum("n").alias("n")
-    )
+    coarse = counts.groupBy("b").agg(F.sum("n").alias("n"))
     up_to = Window.orderBy("b")
     everything = Window.partitionBy()
     placed = coarse.select(
@@ -142,9 +143,7 @@ def median_whole_number(df: DataFrame, value: str, bucket: int = 4096) -> DataFr
             )
         ),
     ).where((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("upto")))
-    inside = counts.withColumn("b", F.floor(F.col("v") / bucket)).join(
-        F.broadcast(middle.select("b", "rank", "before")), "b"
-    )
+    inside = counts.join(F.broadcast(middle.select("b", "rank", "before")), "b")
     running = Window.partitionBy("rank").orderBy("v")
     hit = inside.select(
         "v",

@@ -116,6 +116,9 @@ def health_decomposition(
 
 def health_trend(device_health: DataFrame, k: int = 5) -> DataFrame:
     """Health over time of the ``k`` least healthy devices."""
+    # The join would add this filter to one side only; on both sides, Spark
+    # computes the table once.
+    device_health = device_health.where(F.col("device_id").isNotNull())
     spotlight = ranked_devices(device_rollup(device_health)).limit(k).select("device_id")
     # The broadcast side has k rows by construction.
     series = device_health.join(F.broadcast(spotlight), "device_id", "left_semi")

@@ -65,7 +65,8 @@ def anomaly_breakdown(silver: DataFrame, config: Config = None) -> DataFrame:
 
 
 def layer_funnel(layers: Mapping[str, DataFrame | None]) -> DataFrame:
-    """Rows per layer, the share of the first layer, and the loss at each step.
+    """Width and rows per layer, the share of the first layer, and the loss at each
+    step.
 
     A layer given as ``None`` (table missing) counts as 0 rows. The window runs
     over one row per layer.
@@ -75,7 +76,10 @@ def layer_funnel(layers: Mapping[str, DataFrame | None]) -> DataFrame:
         if df is None:
             continue
         one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(position).alias("position"), F.lit(name).alias("layer"), "row_count"
+            F.lit(position).alias("position"),
+            F.lit(name).alias("layer"),
+            F.lit(len(df.columns)).alias("column_count"),
+            "row_count",
         )
         counts = one if counts is None else counts.unionByName(one)
     if counts is None:
@@ -84,6 +88,7 @@ def layer_funnel(layers: Mapping[str, DataFrame | None]) -> DataFrame:
         F.struct(
             F.lit(position).alias("position"),
             F.lit(name).alias("layer"),
+            F.lit(0).alias("column_count"),
             F.lit(0).cast("bigint").alias("row_count"),
         )
         for position, (name, df) in enumerate(layers.items())
@@ -98,6 +103,7 @@ def layer_funnel(layers: Mapping[str, DataFrame | None]) -> DataFrame:
     return counts.select(
         "position",
         "layer",
+        "column_count",
         "row_count",
         F.round(ratio(F.col("row_count"), first), 4).alias("share_of_first"),
         (before - F.col("row_count")).alias("rows_dropped"),

@@ -1,13 +1,15 @@
 """Tables with versions on plain Parquet.
 
 A table folder holds one data folder per write and a ``history`` of JSON rows. A
-history row names the data folders that make up its version, so an append adds a
-folder without rewriting the older ones and any version can be read later. The
-row is written last: a version without a row does not exist. One writer at a time.
+history row names the data folders and the columns of its version, so an append
+adds a folder without rewriting the older ones, and any version can be read later
+without looking into file footers for its schema. The row is written last: a
+version without a row does not exist. One writer at a time.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from datetime import datetime, timedelta, timezone
@@ -15,12 +17,14 @@ from datetime import datetime, timedelta, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from telestrata.sources.storage import data_files, delete_folder
 
 HISTORY_SCHEMA = (
     "version bigint, committed_at timestamp, operation string, "
-    "row_count bigint, num_files bigint, num_bytes bigint, folders array<string>"
+    "row_count bigint, num_files bigint, num_bytes bigint, folders array<string>, "
+    "columns string"
 )
 REMOVAL = "EXPIRE"  # rows of this operation list folders that are gone
 
@@ -56,13 +60,16 @@ def commit(
     versions, _ = _versions(spark, path)
     version = versions[-1].version + 1 if versions else 0
     folder = f"data/{version:06d}-{uuid.uuid4().hex[:8]}"
+    appended = bool(versions) and mode == "append"
+    before = StructType.fromJson(json.loads(versions[-1].columns)) if appended else None
+    columns = _widened(before, df.schema) if appended else df.schema
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("row_count"))
     counted.write.parquet(f"{path}/{folder}")
     size = data_files(spark, f"{path}/{folder}").agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("num_bytes"), F.lit(0)).alias("b")
     ).first()
-    kept = list(versions[-1].folders) if versions and mode == "append" else []
+    kept = list(versions[-1].folders) if appended else []
     return _log(
         spark,
         path,
@@ -70,10 +77,24 @@ def commit(
         operation or mode.upper(),
         (written.get["row_count"], size.n, size.b),
         [*kept, folder],
+        columns.json(),
     )
 
 
-def _log(spark, path, version, operation, amounts, folders) -> Row:
+def _widened(before: StructType, new: StructType) -> StructType:
+    """The old columns and then the added ones; a changed type is refused."""
+    known = {f.name: f.dataType for f in before}
+    for f in new:
+        if known.get(f.name, f.dataType) != f.dataType:
+            raise ValueError(
+                f"column {f.name} is {known[f.name].simpleString()} in the table "
+                f"and {f.dataType.simpleString()} in the new rows"
+            )
+    added = [f for f in new if f.name not in known]
+    return StructType([*before.fields, *added])
+
+
+def _log(spark, path, version, operation, amounts, folders, columns) -> Row:
     entry = Row(
         version=version,
         committed_at=datetime.now(timezone.utc),
@@ -82,6 +103,7 @@ def _log(spark, path, version, operation, amounts, folders) -> Row:
         num_files=amounts[1],
         num_bytes=amounts[2],
         folders=folders,
+        columns=columns,
     )
     one = spark.range(1, numPartitions=1).select(
         *[F.lit(value).alias(name) for name, value in entry.asDict().items()]
@@ -102,9 +124,8 @@ def read_version(
     folders = wanted[-1].folders
     if gone.intersection(folders):
         raise ValueError(f"version {version} of {path} has expired")
-    return spark.read.option("mergeSchema", "true").parquet(
-        *[f"{path}/{f}" for f in folders]
-    )
+    columns = StructType.fromJson(json.loads(wanted[-1].columns))
+    return spark.read.schema(columns).parquet(*[f"{path}/{f}" for f in folders])
 
 
 def rows_by_version(spark: SparkSession, path: str) -> DataFrame:
@@ -127,7 +148,7 @@ def merged_history(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """History of several tables in order of time, tagged with the table name."""
     merged = None
     for name, path in tables.items():
-        one = history(spark, path).drop("folders").withColumn("table", F.lit(name))
+        one = history(spark, path).drop("folders", "columns").withColumn("table", F.lit(name))
         merged = one if merged is None else merged.unionByName(one)
     return merged.orderBy("committed_at", "table", "version")
 
@@ -177,7 +198,9 @@ def expire(
         files = data_files(spark, *[f"{path}/{f}" for f in stale]).agg(
             F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("num_bytes"), F.lit(0)).alias("b")
         ).first()
-        _log(spark, path, versions[-1].version, REMOVAL, (0, files.n, files.b), stale)
+        last = versions[-1]
+        amounts = (0, files.n, files.b)
+        _log(spark, path, last.version, REMOVAL, amounts, stale, last.columns)
         for folder in stale:
             delete_folder(spark, f"{path}/{folder}")
     return stale

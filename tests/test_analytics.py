@@ -289,6 +289,35 @@ def test_features_join_health_of_the_same_window_without_another_shuffle(frame):
     assert fanned.count() == 5  # two windows of one device pair up four times
 
 
+def shuffles(df):
+    """Hash shuffles and reused ones in the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    reused = plan.count("ReusedExchange")
+    return plan.count("Exchange hashpartitioning") - reused, reused
+
+
+def test_joins_add_no_shuffle(spark, frame):
+    """Without broadcasting, the two aggregates are all that is shuffled."""
+    silver = apply_transformations(frame(event(0), event(60), event(0, device_id="x")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        features = windows.compute_ml_features(silver)
+        joined = health.join_features_health(features, windows.compute_device_health(silver))
+        assert sum(shuffles(joined)) == 2 * sum(shuffles(features))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_table_used_twice_is_computed_once(spark, frame, tmp_path):
+    path = str(tmp_path / "silver")
+    apply_transformations(frame(*GOLD_EVENTS)).write.parquet(path)
+    table = windows.compute_device_health(spark.read.parquet(path))
+    assert shuffles(health.health_trend(table, 2))[1] == 1
+    numbers = spark.read.parquet(path).select(F.second("timestamp").alias("v"))
+    assert shuffles(distributions.median_whole_number(numbers, "v"))[1] == 1
+
+
 def test_unmatched_features_are_kept(spark, frame):
     silver = apply_transformations(frame(event(0)))
     nothing = windows.compute_device_health(silver).where("false")

@@ -69,6 +69,14 @@ def test_columns_may_be_added(spark, tmp_path):
     assert rows == {0: None, 1: None, 2: "x"}
 
 
+def test_a_changed_type_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    snapshots.commit(numbers(spark, 0, 2), path, "append")
+    with pytest.raises(ValueError, match="id is bigint in the table and string"):
+        snapshots.commit(numbers(spark, 0, 1).select(F.col("id").cast("string")), path, "append")
+    assert snapshots.read_version(spark, path).count() == 2
+
+
 def test_merged_history_is_ordered_by_time(spark, tmp_path):
     tables = {n: str(tmp_path / n) for n in ("a", "b")}
     for name in ("a", "b", "a"):

@@ -450,18 +450,18 @@ def oracles() -> dict[str, str]:
             + ", cast(sum(cast(_is_anomaly as int)) as bigint) as total_anomalies from silver"
         ),
         "layer_funnel": gold(
-            f"""select position, layer, row_count,
+            f"""select position, layer, column_count, row_count,
               {rnd('cast(row_count as double) / first_count', 4)} as share_of_first,
               before - row_count as rows_dropped,
               {rnd('cast(before - row_count as double) / before', 4)} as drop_rate
             from (select *, coalesce(lag(row_count) over (order by position), row_count) as before,
                     first_value(row_count) over (order by position) as first_count
-                  from (select 0 as position, 'bronze' as layer, count(*) as row_count from bronze
-                  union all select 1, 'silver', count(*) from silver
-                  union all select 2, 'device_summary', count(*) from device_summary
-                  union all select 3, 'anomaly_summary', count(*) from anomaly_summary
-                  union all select 4, 'device_health', count(*) from device_health
-                  union all select 5, 'ml_features', count(*) from ml_features))"""
+                  from (select 0 as position, 'bronze' as layer, 11 as column_count, count(*) as row_count from bronze
+                  union all select 1, 'silver', 19, count(*) from silver
+                  union all select 2, 'device_summary', 14, count(*) from device_summary
+                  union all select 3, 'anomaly_summary', 9, count(*) from anomaly_summary
+                  union all select 4, 'device_health', 9, count(*) from device_health
+                  union all select 5, 'ml_features', 35, count(*) from ml_features))"""
         ),
         "dq_summary": gold(
             f"""select 'bronze' as layer, 'total_records' as metric, count(*)::double as value from bronze
