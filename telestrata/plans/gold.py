@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +29,16 @@ def build_and_write(
     staged_path = workspace(spark, "window-stats")
     window_stats(silver, config=settings).write.parquet(staged_path)
     stats = spark.read.parquet(staged_path)
-    counts = {}
-    for name, project in GOLD_TABLES.items():
-        table = project(stats, settings).withColumn("_aggregated_at", F.current_timestamp())
-        counts[name] = snapshots.commit(table, f"{gold_path}/{name}").row_count
+
+    def write(name: str) -> int:
+        table = GOLD_TABLES[name](stats, settings)
+        stamped = table.withColumn("_aggregated_at", F.current_timestamp())
+        return snapshots.commit(stamped, f"{gold_path}/{name}").row_count
+
+    # The tables do not depend on each other, so their jobs may overlap.
+    with ThreadPoolExecutor(len(GOLD_TABLES)) as threads:
+        rows = threads.map(inheritable_thread_target(spark)(write), GOLD_TABLES)
+        counts = dict(zip(GOLD_TABLES, rows))
     delete_folder(spark, staged_path)
     return counts
 
