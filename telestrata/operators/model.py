@@ -171,10 +171,11 @@ def confusion_matrix(scored: DataFrame) -> DataFrame:
 def roc_points(scored: DataFrame) -> DataFrame:
     """False and true positive rate at every distinct probability.
 
-    Rows with equal probability are merged first. Running totals come from the
-    totals of a fixed grid of probability ranges plus a running sum inside each
-    range, so no single task ranks all probabilities. No rows come out when only
-    one class is present.
+    Rows with equal probability are merged first. Running totals come from three
+    levels: ranges of 1/4096, the 4096 ranges inside each of those, and the
+    probabilities inside such a small range. A task thus adds up at most 4,097
+    range totals or the distinct probabilities of one range of width 6e-8. No rows
+    come out when only one class is present.
     """
     merged = (
         scored.groupBy("predicted_prob")
@@ -183,25 +184,32 @@ def roc_points(scored: DataFrame) -> DataFrame:
             F.count_if(F.col(LABEL) == 0).alias("neg"),
         )
         .withColumn("cell", F.floor(F.col("predicted_prob") * _GRID))
+        .withColumn("part", F.floor(F.col("predicted_prob") * _GRID * _GRID))
     )
-    above = Window.orderBy(F.desc("cell"))
-    whole = Window.partitionBy()
-    cells = merged.groupBy("cell").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    offsets = cells.select(
+    parts = merged.groupBy("cell", "part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    cells = parts.groupBy("cell").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+    above, whole = Window.orderBy(F.desc("cell")), Window.partitionBy()
+    cell_offsets = cells.select(
         "cell",
         (F.sum("p").over(above) - F.col("p")).alias("pos_above"),
         (F.sum("n").over(above) - F.col("n")).alias("neg_above"),
         F.sum("p").over(whole).alias("all_pos"),
         F.sum("n").over(whole).alias("all_neg"),
-    )
-    inside = Window.partitionBy("cell").orderBy(F.desc("predicted_prob"))
+    ).where((F.col("all_pos") > 0) & (F.col("all_neg") > 0))
+    in_cell = Window.partitionBy("cell").orderBy(F.desc("part"))
     # The broadcast side has at most one row per cell of the grid.
-    placed = merged.join(F.broadcast(offsets), "cell").where(
-        (F.col("all_pos") > 0) & (F.col("all_neg") > 0)
+    offsets = parts.join(F.broadcast(cell_offsets), "cell").select(
+        "cell",
+        "part",
+        (F.col("pos_above") + F.sum("p").over(in_cell) - F.col("p")).alias("pos_above"),
+        (F.col("neg_above") + F.sum("n").over(in_cell) - F.col("n")).alias("neg_above"),
+        "all_pos",
+        "all_neg",
     )
-    tp = F.col("pos_above") + F.sum("pos").over(inside)
-    fp = F.col("neg_above") + F.sum("neg").over(inside)
-    return placed.select(
+    in_part = Window.partitionBy("cell", "part").orderBy(F.desc("predicted_prob"))
+    tp = F.col("pos_above") + F.sum("pos").over(in_part)
+    fp = F.col("neg_above") + F.sum("neg").over(in_part)
+    return merged.join(offsets, ["cell", "part"]).select(
         F.col("predicted_prob").alias("threshold"),
         ratio(fp, F.col("all_neg")).alias("fpr"),
         ratio(tp, F.col("all_pos")).alias("tpr"),

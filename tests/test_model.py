@@ -99,6 +99,18 @@ def test_roc_and_auc_against_brute_force(spark):
     assert all(a.tpr <= b.tpr and a.fpr <= b.fpr for a, b in zip(rows, rows[1:]))
 
 
+def test_roc_where_most_probabilities_share_a_range(spark):
+    """Two thirds of the probabilities differ only far behind the point."""
+    draw = random.Random(6)
+    pairs = [
+        (draw.random() * (1e-9 if i % 3 else 1.0), int(draw.random() < 0.4)) for i in range(600)
+    ] + [(0.0, 1), (1.0, 0), (1.0, 1)]
+    df = spark.createDataFrame(pairs, f"predicted_prob double, {model.LABEL} int").repartition(5)
+    points = model.roc_points(df)
+    assert points.count() == len({p for p, _ in pairs})
+    assert model.auc(points).first().auc == pytest.approx(brute_force_auc(pairs))
+
+
 def test_roc_of_one_class_is_empty(spark):
     df = spark.createDataFrame([(0.2, 0), (0.7, 0)], f"predicted_prob double, {model.LABEL} int")
     assert model.roc_points(df).count() == 0
