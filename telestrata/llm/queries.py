@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telestrata.llm import bpe, langid, pii, toxicity
-from telestrata.llm.common import id_remainder, table
-
-__all__ = ["QUERIES", "id_remainder"]
+from telestrata.llm import bpe, langid, neardup, pii, toxicity
+from telestrata.llm.common import table
 
 
 def vocabulary(name: str) -> str:
@@ -16,6 +14,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_neardup(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.classes(table(spark, sf, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digests(table(spark, sf, "documents"))
 
@@ -42,6 +44,7 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_neardup": op2_neardup,
     "op4_pii": op4_pii,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
