@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telestrata.llm import bpe, langid, neardup, pii, toxicity
+from telestrata.llm import bpe, decontam, langid, neardup, pii, toxicity
 from telestrata.llm.common import table
 
 
@@ -43,10 +43,15 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf, "labels")))
 
 
+def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op2_neardup": op2_neardup,
     "op4_pii": op4_pii,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
+    "op10_decontaminate": op10_decontaminate,
 }
