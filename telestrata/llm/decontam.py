@@ -1,7 +1,7 @@
 """Benchmark decontamination over canonical templates.
 
 A text becomes a sequence of words in which numbers, units after a number, and names
-(capitalised words, wherever they stand) give way to typed placeholders; the replaced words
+(capitalised words inside a sentence) give way to typed placeholders; the replaced words
 are kept as slot values. Windows of eight such forms are hashed and joined with the
 windows of the benchmark items. Along one alignment of a document and an item every
 slot value of the item must always meet the same value of the document; then the
@@ -38,7 +38,8 @@ UNITS = (
     "euro euros cent cents percent degree degrees mph kmh watt watts volt volts"
 ).split()
 
-TOKEN = r"[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*"
+# A word or number, with what comes before it if a sentence ends there.
+TOKEN = r"(?:[.!?\n][^\p{L}\p{M}0-9]*)?(?:[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*)"
 _UNITS = ", ".join(f"'{u}'" for u in UNITS)
 
 
@@ -46,28 +47,36 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
-#: The token before each token; 'A' before the first.
-BEFORE = "concat(array('A'), slice(tokens, 1, greatest(size(tokens) - 1, 0)))"
+#: The token before each token; a line break before the first.
+BEFORE = "concat(array(char(10)), slice(tokens, 1, greatest(size(tokens) - 1, 0)))"
 
-# The kind of slot that token k after token p is, else null. Only numbers sort before ':';
-# most tokens are lower-case words and leave at the first comparison.
+# The kind of slot that token k after token p is, else null. Of all first and last characters
+# of tokens only digits and sentence ends sort before 'A'; most tokens are lower-case words
+# and leave at the first comparison.
 KIND = f"""case
-    when k >= 'a' and k < '{{' and p >= ':' then null
-    when k < ':' then '#'
-    when p < ':' and lower(k) in ({_UNITS}) then '%'
-    when left(k, 1) <> lower(left(k, 1)) then '@'
+    when k >= 'a' and k < '{{' and p >= 'A' then null
+    when right(k, 1) < ':' then '#'
+    when p = char(10) then null
+    when right(p, 1) < ':' and lower(k) in ({_UNITS}) then '%'
+    when k < 'A' then null
+    when left(k, 1) <> lower(left(k, 1)) and substr(k, 2, 1) <> upper(substr(k, 2, 1)) then '@'
+  end"""
+PLAIN = r"""case
+    when k >= 'a' and k < '{' then k
+    when k < 'A' then lower(regexp_replace(k, '^[^\\p{L}\\p{M}0-9]+', ''))
+    else lower(k)
   end"""
 
 
 def form_hashes(texts: DataFrame, text: Column) -> DataFrame:
     """``texts`` with ``h``, the hashes of the canonical forms of ``text``."""
-    forms = f"zip_with(tokens, {BEFORE}, (k, p) -> xxhash64(coalesce({KIND}, k)))"
+    forms = f"zip_with(tokens, {BEFORE}, (k, p) -> xxhash64(coalesce({KIND}, {PLAIN})))"
     return texts.withColumn("tokens", tokens(text)).withColumn("h", F.expr(forms))
 
 
 def templated(texts: DataFrame, text: Column) -> DataFrame:
     """``texts`` with ``h`` and ``slots``, the kind and value of each slot (null for words)."""
-    slots = f"zip_with(tokens, {BEFORE}, (k, p) -> concat({KIND}, k))"
+    slots = f"zip_with(tokens, {BEFORE}, (k, p) -> concat({KIND}, {PLAIN}))"
     return form_hashes(texts, text).withColumn("slots", F.expr(slots)).drop("tokens")
 
 
