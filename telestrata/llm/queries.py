@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telestrata.llm import bpe, decontam, langid, neardup, pii, toxicity
+from telestrata.llm import bpe, decontam, langid, neardup, pii, quality, toxicity
 from telestrata.llm.common import table
 
 
@@ -14,6 +14,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op2_neardup(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.classes(table(spark, sf, "documents"))
 
@@ -48,6 +52,7 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_neardup": op2_neardup,
     "op4_pii": op4_pii,
     "op5_language": op5_language,
