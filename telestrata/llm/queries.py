@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telestrata.llm import bpe, decontam, langid, neardup, pii, quality, toxicity
+from telestrata.llm import bpe, decontam, langid, neardup, pii, quality, toxicity, urls
 from telestrata.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op2_neardup(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.classes(table(spark, sf, "documents"))
 
 
+def op3_urls(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge(table(spark, sf, "pages"))
+
+
 def op4_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digests(table(spark, sf, "documents"))
 
@@ -54,6 +58,7 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_neardup": op2_neardup,
+    "op3_urls": op3_urls,
     "op4_pii": op4_pii,
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
