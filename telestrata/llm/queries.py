@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telestrata.llm import bpe, decontam, langid, neardup, pii, quality, toxicity, urls
+from telestrata.llm import bpe, decontam, langid, neardup, pii, quality, sentencepiece, toxicity, urls, warc
 from telestrata.llm.common import table
 
 
@@ -51,6 +51,15 @@ def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf, "labels")))
 
 
+def op8_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return sentencepiece.encoded(docs, vocabulary("piece_bpe_32k.model")).drop("text")
+
+
+def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -63,5 +72,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_warc": op9_warc,
     "op10_decontaminate": op10_decontaminate,
 }
