@@ -6,8 +6,8 @@ out one by one - becomes a lattice of readings: a sign may stand for a letter, a
 for one or two letters, a gap for nothing. The Viterbi path under a character trigram
 model of the whole corpus is the restored text.
 
-The score comes from hashed n-grams inside words of the restored text: the strongest
-evidence for toxicity that any n-gram of the document gives, through a logistic curve.
+The score comes from hashed n-grams inside words of the restored text: the mean of the
+strongest evidence that different n-grams of the document give, through a logistic curve.
 Evidence is the smoothed log-odds of an n-gram's presence in toxic and other documents.
 
 A null text counts as empty; an empty text has no n-grams and gets the curve's value for no
@@ -39,6 +39,7 @@ from telestrata.llm.subwords import (
 
 ORDERS = (5, 6)
 BITS = 20
+TOP = 6  # n-grams whose evidence counts in a document
 SAMPLE_PER_CLASS = 4000  # the bound on labelled rows that training reads, per label
 SAMPLE_MAX_CHARS = 50_000  # longer texts are left out of that sample
 
@@ -253,17 +254,16 @@ class ToxicityModel:
     offset: float
 
     def evidence(self, restored: list[str]) -> np.ndarray:
-        """Per text, the largest evidence of an n-gram; 0 without one."""
+        """Mean of the ``TOP`` largest odds of different n-grams of each text, at least 0."""
         points, starts = words_only(restored)
-        top = np.zeros(len(restored))
+        which, buckets = [], []
         for order in ORDERS:
-            buckets, places = ngrams(points, order, BITS)
-            begins = np.searchsorted(places, starts)
-            full = np.flatnonzero(np.append(begins[1:], len(places)) > begins)
-            if len(full):
-                found = np.maximum.reduceat(self.odds[buckets], begins[full])
-                top[full] = np.maximum(top[full], found)
-        return top
+            found, places = ngrams(points, order, BITS)
+            speaks = self.odds[found] > 0
+            which.append(np.searchsorted(starts, places[speaks], side="right") - 1)
+            buckets.append(found[speaks])
+        pairs = np.unique((np.concatenate(which) << BITS) | np.concatenate(buckets))
+        return top_means(pairs >> BITS, self.odds[pairs & ((1 << BITS) - 1)], len(restored))
 
     def score(self, restored: list[str]) -> np.ndarray:
         if not self.slope:
@@ -271,6 +271,15 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-(self.slope * self.evidence(restored) + self.offset)))
 
 
+def top_means(which: np.ndarray, odds: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` texts the mean of its ``TOP`` largest odds, missing ones being 0."""
+    order = np.lexsort((-odds, which))
+    which, odds = which[order], odds[order]
+    place = np.arange(len(which)) - np.searchsorted(which, which)
+    first = place < TOP
+    return np.bincount(which[first], odds[first], minlength=n) / TOP
+
+
 def _present(text: str) -> np.ndarray:
     points, _ = words_only([text])
     return np.unique(np.concatenate([ngrams(points, order, BITS)[0] for order in ORDERS]))
@@ -293,7 +302,9 @@ def train(texts: list[str], toxic: list[int], totals: tuple[int, int], logp: np.
             rows[t] += 1
     share = (count + 0.5) / (rows[:, None] + 1)
     odds = np.log(share[1] / share[0])
-    x = np.array([max(odds[s].max(initial=0), 0) for s in sets])[::3]
+    heard = [np.maximum(odds[s], 0) for s in sets[::3]]
+    which = np.repeat(np.arange(len(heard)), [len(h) for h in heard])
+    x = top_means(which, np.concatenate(heard), len(heard))
     seen = y[::3]
     if not rows.all() or seen.all() or not seen.any():
         return ToxicityModel(logp, odds.astype(np.float32), 0.0, 0.0)
