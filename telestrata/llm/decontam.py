@@ -48,7 +48,7 @@ def tokens(text: Column) -> Column:
 
 
 #: The token before each token; a line break before the first.
-BEFORE = "concat(array(char(10)), slice(tokens, 1, greatest(size(tokens) - 1, 0)))"
+BEFORE = "slice(concat(array(char(10)), tokens), 1, size(tokens))"
 
 # The kind of slot that token k after token p is, else null. Of all first and last characters
 # of tokens only digits and sentence ends sort before 'A'; most tokens are lower-case words
