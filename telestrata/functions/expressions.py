@@ -27,19 +27,18 @@ def exact_mean(value: str, places: int) -> Column:
 
     Summing doubles depends on the order in which partitions merge, and a mean
     that lies on a rounding tie then changes between runs. The values are summed
-    as integers of the last decimal place instead, which is order-free. Values
-    that do not fit (NaN, infinity, very large) fall back to the plain mean.
+    as decimals instead, which is order-free. With a value that no such decimal
+    holds (NaN, infinity, 18 digits or more) the mean is null.
     """
     return F.expr(exact_mean_sql(value, places))
 
 
 def exact_mean_sql(value: str, places: int) -> str:
     scale = 10**places
-    units = f"CASE WHEN abs({value}) < 1e9D THEN bigint(round({value} * {scale})) END"
+    exact = f"try_cast({value} AS decimal(18, {places}))"
     return (
-        f"coalesce(CASE WHEN count({value}) = count({units}) "
-        f"THEN try_divide(double(try_sum({units})), count({units}) * {scale}) END, "
-        f"try_divide(sum({value}), count({value})))"
+        f"CASE WHEN count({value}) = count({exact}) "
+        f"THEN try_divide(double(sum({exact}) * {scale}), count({value}) * {scale}) END"
     )
 
 

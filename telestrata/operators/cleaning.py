@@ -26,15 +26,15 @@ def drop_nulls(df: DataFrame, required_cols: Sequence[str] = KEY_COLUMNS) -> Dat
 
 
 def deduplicate(
-    df: DataFrame, key_cols: Sequence[str] = KEY_COLUMNS, salts: int = 16
+    df: DataFrame, key_cols: Sequence[str] = KEY_COLUMNS, salts: int = 0
 ) -> DataFrame:
     """One row per key; which of several differing rows survives is not defined.
 
     A batch plan already collapses copies inside each input partition before the
-    shuffle. A stream has no such step, so the copies of one key would all go to
-    one task; there a first pass keyed on ``(key, salt)`` spreads them over up to
-    ``salts`` tasks and a second pass keeps one. ``salts=0`` skips the first pass
-    and halves the state, for feeds known to be free of heavy replays.
+    shuffle. A stream has no such step, so the copies of one key all go to one task.
+    For feeds with heavy replays of single keys, ``salts`` adds a first pass keyed on
+    ``(key, salt)`` that spreads them over so many tasks, at the price of up to twice
+    the state.
     """
     keys = list(key_cols)
     if not (df.isStreaming and salts):

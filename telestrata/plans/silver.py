@@ -16,7 +16,7 @@ def apply_transformations(
     config: Settings | Mapping | None = None,
     processed_at: Column | None = None,
     null_safe: bool = False,
-    salts: int = 16,
+    salts: int = 0,
 ) -> DataFrame:
     """Filters run before the deduplication shuffle, derivations after it.
 

@@ -81,7 +81,7 @@ class Settings:
 
     @property
     def watermark(self) -> str:
-        return f"{self.dedup_window_hours} hours"
+        return f"{round(self.dedup_window_hours * 3600)} seconds"
 
     @classmethod
     def of(cls, config: "Settings | Mapping | None") -> "Settings":

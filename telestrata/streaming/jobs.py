@@ -49,7 +49,7 @@ def start_silver(
     config: Config = None,
     drain: bool = False,
     by_date: bool = True,
-    salts: int = 16,
+    salts: int = 0,
 ) -> StreamingQuery:
     """Clean and deduplicate within the watermark; later rows are discarded."""
     settings = Settings.of(config)

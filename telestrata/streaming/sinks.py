@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telestrata.settings import Settings
 from telestrata.sources.layers import DATE_COLUMN
+from telestrata.streaming.metrics import StreamTotals
 
 
 def append_stream(
@@ -40,9 +43,17 @@ def append_stream(
     return writer.start()
 
 
-def drained(query: StreamingQuery, timeout_seconds: int = 3600) -> StreamingQuery:
-    """Wait for a draining query; a failure or an overrun is raised."""
-    if not query.awaitTermination(timeout_seconds):
-        query.stop()
-        raise TimeoutError(f"stream {query.name} did not drain in {timeout_seconds} s")
-    return query
+def drained(query: StreamingQuery, timeout_seconds: float | None = None) -> StreamTotals:
+    """Wait for a draining query and return the totals of all its batches.
+
+    A failure is raised. There is no time limit unless one is given; an overrun of it stops
+    the query and is raised.
+    """
+    totals, start = StreamTotals(query), time.monotonic()
+    while not query.awaitTermination(0.5):
+        totals.fold()
+        if timeout_seconds is not None and time.monotonic() - start > timeout_seconds:
+            query.stop()
+            raise TimeoutError(f"stream {query.name} did not drain in {timeout_seconds} s")
+    totals.fold()
+    return totals

@@ -6,7 +6,7 @@ from telestrata.settings import Settings
 def test_defaults():
     s = Settings.of(None)
     assert [x.column for x in s.sensors] == ["temperature", "humidity", "pressure"]
-    assert (s.watermark, s.window_duration, s.trigger_interval) == ("24 hours", "1 hour", "10 seconds")
+    assert (s.watermark, s.window_duration, s.trigger_interval) == ("86400 seconds", "1 hour", "10 seconds")
     assert s.gold_retention_hours == 0
 
 
@@ -32,7 +32,7 @@ def test_a_nested_mapping_overrides_what_it_names():
     temperature, _, pressure = s.sensors
     assert (temperature.low, temperature.high) == (-50.0, 90.0)
     assert (pressure.mean, pressure.stddev) == (1013.25, 2.0)
-    assert (s.watermark, s.optional_fields, s.anomaly_penalty) == ("6 hours", ("location",), 0.5)
+    assert (s.watermark, s.optional_fields, s.anomaly_penalty) == ("21600 seconds", ("location",), 0.5)
     assert (s.window_duration, s.battery_weight, s.quality_weight) == ("2 hours", 0.1, 0.4)
     assert (s.warning_from, s.healthy_from) == (0.4, 0.8)
     assert s.optimize_enabled and not s.vacuum_enabled and s.silver_retention_hours == 1

@@ -8,6 +8,7 @@ first and return a frame over the result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +32,14 @@ from telestrata.sources.landing import parse_lines
 from telestrata.sources.layers import read_layer
 from telestrata.sources.storage import workspace
 from telestrata.streaming.jobs import start_bronze, start_gold, start_silver
-from telestrata.streaming.metrics import layer_metrics, progress_frame
+from telestrata.streaming.metrics import layer_metrics, totals_frame
 from telestrata.streaming.sinks import drained
 from telestrata.streaming.storage import check_stream_storage
 
-# One wave of files is one micro-batch here, so no row is late within its wave.
-DRAIN = Settings(max_files_per_trigger=100_000)
+# Every stream query keeps to one rule: no new row of a wave lies more than the watermark
+# delay behind any row of the same or an earlier wave. Then no result depends on the number
+# of batches, and any admission limit will do.
+STREAM = Settings()
 
 
 def bronze(spark: SparkSession, sf: str) -> DataFrame:
@@ -269,11 +272,18 @@ def arrive(rows: DataFrame, at: Folders) -> None:
 
 
 def to_bronze(spark, at: Folders):
-    return drained(start_bronze(spark, at.landing, at.bronze, f"{at.state}/bronze", DRAIN, True))
+    return drained(start_bronze(spark, at.landing, at.bronze, f"{at.state}/bronze", STREAM, True))
 
 
-def to_silver(spark, at: Folders):
-    return drained(start_silver(spark, at.bronze, at.silver, f"{at.state}/silver", DRAIN, True))
+def to_silver(spark, at: Folders, hours: float = STREAM.dedup_window_hours):
+    config = replace(STREAM, dedup_window_hours=hours)
+    return drained(start_silver(spark, at.bronze, at.silver, f"{at.state}/silver", config, True))
+
+
+def hours_of(rows: DataFrame, share: float = 1.0) -> float:
+    """A little more than a share of the time between the first and the last row."""
+    low, high = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    return (int((high - low).total_seconds() * share) + 2) / 3600
 
 
 def middle_of(rows: DataFrame) -> datetime:
@@ -333,13 +343,13 @@ def silver_stream(spark, sf):
     """Two waves in order of time; the second resends all of the first."""
     at = Folders(spark, "silver-stream")
     rows = bronze(spark, sf)
-    cut = F.lit(middle_of(rows))
+    cut, hours = F.lit(middle_of(rows)), hours_of(rows, 0.5)
     arrive(rows.where(F.col("timestamp") < cut), at)
     to_bronze(spark, at)
-    to_silver(spark, at)
+    to_silver(spark, at, hours)
     arrive(rows, at)
     to_bronze(spark, at)
-    to_silver(spark, at)
+    to_silver(spark, at, hours)
     cleaned = without_zone(read_layer(spark, at.silver))
     return cleaned.drop("_ingested_at", "_processed_at")
 
@@ -347,42 +357,55 @@ def silver_stream(spark, sf):
 def stream_dedup(spark, sf):
     """Everything is sent twice; each key is kept once."""
     at = Folders(spark, "stream-dedup")
+    rows = bronze(spark, sf)
+    hours = hours_of(rows)
     for _ in range(2):
-        arrive(bronze(spark, sf), at)
+        arrive(rows, at)
         to_bronze(spark, at)
-        to_silver(spark, at)
+        to_silver(spark, at, hours)
     kept = without_zone(read_layer(spark, at.silver))
     return kept.groupBy("device_id", "timestamp").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def late_data(spark, sf):
-    """Purchases of the whole period arrive after everything else."""
+    """The newest 24 hours arrive first, so all older rows are late."""
     at = Folders(spark, "late-data")
-    late = F.col("location") == "purchase"
-    for wave in (~late, late):
-        arrive(bronze(spark, sf).where(wave), at)
+    rows = bronze(spark, sf)
+    usable = F.col("_corrupt_record").isNull() & F.col("device_id").isNotNull()
+    newest = rows.where(usable).agg(F.date_trunc("millisecond", F.max("timestamp"))).first()[0]
+    cut = F.lit(newest - timedelta(hours=STREAM.dedup_window_hours))
+    new = F.coalesce(usable & (F.col("timestamp") > cut), F.lit(False))
+    late = 0
+    for wave in (new, ~new):
+        arrive(rows.where(wave), at)
         to_bronze(spark, at)
-        to_silver(spark, at)
+        late += to_silver(spark, at).late
     return (
         without_zone(read_layer(spark, at.silver))
         .groupBy("location")
         .agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("oldest"))
+        .withColumn("late_rows", F.lit(late).cast("long"))
     )
 
 
 def gold_stream(spark, sf):
+    """Two halves in order of time; windows that end half the period before the last row."""
     at = Folders(spark, "gold-stream")
-    stored = silver(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    stored.write.parquet(at.silver)
-    drained(start_gold(spark, at.silver, at.gold, f"{at.state}/gold", DRAIN, True))
+    rows = silver(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    cut = F.lit(middle_of(rows))
+    config = replace(STREAM, dedup_window_hours=hours_of(rows, 0.5))
+    for half in (F.col("timestamp") < cut, F.col("timestamp") >= cut):
+        rows.where(half).write.mode("append").parquet(at.silver)
+        drained(start_gold(spark, at.silver, at.gold, f"{at.state}/gold", config, True))
     return without_zone(spark.read.parquet(at.gold))
 
 
 def stream_metrics(spark, sf):
     at = Folders(spark, "stream-metrics")
-    arrive(bronze(spark, sf), at)
-    runs = {"bronze": to_bronze(spark, at), "silver": to_silver(spark, at)}
-    measured = layer_metrics(progress_frame(spark, runs))
+    rows = bronze(spark, sf)
+    arrive(rows, at)
+    runs = {"bronze": to_bronze(spark, at), "silver": to_silver(spark, at, hours_of(rows))}
+    measured = layer_metrics(totals_frame(spark, runs))
     return measured.select("layer", "records_processed", "errors", "late_rows")
 
 
@@ -471,9 +494,10 @@ def maintain(spark, sf):
     settings = Settings(optimize_enabled=True, vacuum_enabled=True)
     at = Folders(spark, "maintain")
     raw, clean, root = f"{at.bronze}-table", f"{at.silver}-table", at.gold
-    arrive(bronze(spark, sf), at)
+    rows = bronze(spark, sf)
+    arrive(rows, at)
     to_bronze(spark, at)
-    to_silver(spark, at)
+    to_silver(spark, at, hours_of(rows))
     snapshot_streamed_layer(spark, at.bronze, raw)
     snapshot_streamed_layer(spark, at.silver, clean)
     build_and_write(snapshots.read_version(spark, clean), root, settings)

@@ -352,8 +352,8 @@ SILVER_NO_CLOCK = ", ".join(
     c for c in SILVER_COLUMNS if c not in ("_ingested_at", "_processed_at")
 )
 LATE = """
-first_wave as (select max(timestamp) as newest from bronze
-               where _corrupt_record is null and location <> 'purchase')
+usable as (select timestamp from bronze where _corrupt_record is null and device_id is not null),
+cut as (select date_trunc('milliseconds', max(timestamp)) - interval 24 hours as edge from usable)
 """
 REPEATED = (
     "select count(*) from (select 1 from {0} group by device_id, {1} having count(*) > 1)"
@@ -765,15 +765,15 @@ def oracles() -> dict[str, str]:
         "silver_stream": silver(f"select {SILVER_NO_CLOCK} from silver"),
         "stream_dedup": silver("select device_id, timestamp, 1::bigint as copies from silver"),
         "late_data": silver(
-            "select location, count(*) as n, min(timestamp) as oldest from silver "
-            "where location <> 'purchase' or timestamp > "
-            "(select date_trunc('milliseconds', newest) - interval 24 hours from first_wave) "
-            "group by location",
+            "select location, count(*) as n, min(timestamp) as oldest, "
+            "(select count(*) from usable where timestamp <= (select edge from cut)) as late_rows "
+            "from silver where timestamp > (select edge from cut) group by location",
             LATE,
         ),
         "gold_stream": gold(
             "select * from device_summary where window_end <= "
-            "(select date_trunc('milliseconds', max(timestamp)) - interval 24 hours from silver)"
+            "(select date_trunc('milliseconds', max(timestamp)) - to_seconds(cast(floor("
+            "date_diff('microseconds', min(timestamp), max(timestamp)) / 2e6) as bigint) + 2) from silver)"
         ),
         "stream_metrics": bronze(
             "select 'bronze' as layer, count(*) as records_processed, 0::bigint as errors, "
