@@ -81,13 +81,15 @@ def test_one_large_group_of_near_copies(spark):
 
 
 def test_chains_are_kept_by_later_rounds(spark):
-    """The ends of a chain aren't similar, and its middle links both to the first centre's bucket."""
+    """One bucket in which only neighbours are similar, the last one not to the first centre."""
     base = [f"w{i}" for i in range(200)]
     step = lambda a: base[a : a + 150]
-    rows = [(i, " ".join(step(a))) for i, a in enumerate((0, 14, 28, 42))]
+    rows = [(i, " ".join(step(a))) for i, a in enumerate((0, 12, 24, 36))]
     assert brute_classes(rows) == {0: 0, 1: 0, 2: 0, 3: 0}
-    buckets = spark.createDataFrame([(7, i) for i in range(4)], "bucket long, rep long")
-    sets = neardup.shingle_sets(frame(spark, rows).withColumnRenamed("doc_id", "id"), buckets.select("rep"))
+    docs = frame(spark, rows).withColumnRenamed("doc_id", "id")
+    reps = neardup.representatives(neardup.signed(docs))
+    buckets = reps.select(F.lit(7).alias("bucket"), "rep", "s.sketch", "s.size")
+    sets = neardup.shingle_sets(docs, buckets.select("rep"))
     roots = neardup.verified_roots(buckets, sets)
     assert {(r["node"], r["root"]) for r in roots.collect()} == {(1, 0), (2, 0), (3, 0)}
 
