@@ -55,7 +55,7 @@ def test_silver_profile_and_breakdown(silver):
 
 def test_numeric_ranges(silver):
     row = profiles.numeric_ranges(silver).first()
-    assert (row.temp_min, row.temp_max, row.hum_min, row.pres_max) == (-80, 300, 0, 1200)
+    assert (row.temp_min, row.temp_max, row.hum_min, row.pres_max) == (-60, 170, 0, 1105.25)
 
 
 def test_layer_funnel_counts_a_missing_table_as_empty(bronze, silver):
@@ -94,7 +94,7 @@ def test_device_rates_skip_undecided_rows(frame):
         )
     )
     rows = {r.device_id: tuple(r)[1:] for r in profiles.device_anomaly_rate(silver).collect()}
-    assert rows == {"device-0001": (2, 1, 0.5), "unknown": (0, 0, None)}
+    assert rows == {"unit-07": (2, 1, 0.5), "unknown": (0, 0, None)}
     minutes = profiles.anomaly_per_minute(silver).orderBy("minute").collect()
     assert [(m.total_events, m.anomaly_count, m.anomaly_rate) for m in minutes] == [
         (1, 0, 0.0),
@@ -107,13 +107,13 @@ def test_only_devices_with_anomalies_fewest_first(frame):
     silver = apply_transformations(
         frame(
             *GOLD_EVENTS,
-            event(3, device_id="device-0003", temperature=300),
+            event(3, device_id="unit-09", temperature=300),
         )
     )
     rows = profiles.anomaly_by_device(windows.compute_anomaly_summary(silver)).collect()
     assert [(r.device_id, r.total_anomaly_count) for r in rows] == [
-        ("device-0002", 1),
-        ("device-0003", 2),
+        ("unit-08", 1),
+        ("unit-09", 2),
     ]
 
 
@@ -250,8 +250,8 @@ def test_components_add_up_to_the_score(frame):
         parts = r.quality_component + r.anomaly_component + r.battery_component
         assert parts == pytest.approx(r.health_score, abs=1e-4)
     worst = health.health_decomposition(health.device_rollup(table), 1).first()
-    assert worst.device_id == "device-0003"
-    assert (worst.quality_component, worst.battery_component) == (0.36, 0.045)
+    assert worst.device_id == "unit-09"
+    assert (worst.quality_component, worst.battery_component) == (0.36, 0.036)
 
 
 def test_tiers_and_stats(frame):
@@ -259,7 +259,7 @@ def test_tiers_and_stats(frame):
     shares = {r.risk_tier: (r.n, r.share) for r in health.risk_tiers(table).collect()}
     assert shares == {t: (1, pytest.approx(1 / 3)) for t in ("healthy", "warning", "critical")}
     stats = health.health_stats(table).first()
-    assert (stats.min_health, stats.max_health) == (0.405, 0.967)
+    assert (stats.min_health, stats.max_health) == (0.396, 0.982)
 
 
 def test_kpis(frame):
@@ -328,11 +328,11 @@ def test_unmatched_features_are_kept(spark, frame):
 def test_top_k(frame):
     silver = apply_transformations(frame(*GOLD_EVENTS))
     top = health.top_windows(windows.compute_device_summary(silver), 2).collect()
-    assert [r.device_id for r in top] == ["device-0001", "device-0002"]
+    assert [r.device_id for r in top] == ["unit-07", "unit-08"]
     rates = health.top_anomaly_rate(profiles.device_anomaly_rate(silver), 2).collect()
-    assert [r.device_id for r in rates] == ["device-0003", "device-0002"]
+    assert [r.device_id for r in rates] == ["unit-09", "unit-08"]
     unusual = health.top_abs_z(profiles.device_abs_z(silver), 1).collect()
-    assert [r.device_id for r in unusual] == ["device-0002"]
+    assert [r.device_id for r in unusual] == ["unit-08"]
 
 
 def test_schema_diff(bronze, silver):

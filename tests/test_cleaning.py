@@ -18,7 +18,7 @@ def test_rows_without_a_key_leave(frame):
 
 
 def test_one_row_per_key(frame):
-    df = frame(*[event()] * 10, event(1), event(device_id="device-0002"))
+    df = frame(*[event()] * 10, event(1), event(device_id="unit-08"))
     assert cleaning.deduplicate(df).count() == 3
 
 

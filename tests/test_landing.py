@@ -21,7 +21,7 @@ def test_good_and_broken_records(spark, land, tmp_path):
 
 
 def test_a_wrong_type_keeps_the_good_fields_of_a_file_record(spark, land, tmp_path):
-    bad = '{"device_id": "d9", "timestamp": "2025-06-01T12:00:00Z", "temperature": "hot"}'
+    bad = '{"device_id": "d9", "timestamp": "2024-11-05T10:00:00Z", "temperature": "hot"}'
     row = stored(spark, land, tmp_path, bad).first()
     assert row._corrupt_record == bad
     assert (row.device_id, row.temperature) == ("d9", None)
@@ -33,8 +33,8 @@ def test_a_bad_timestamp_is_corrupt(spark, land, tmp_path):
 
 
 def test_unknown_fields_are_ignored(spark, land, tmp_path):
-    bronze = stored(spark, land, tmp_path, event(signal_strength=-60, network_type="5G"))
-    assert "signal_strength" not in bronze.columns
+    bronze = stored(spark, land, tmp_path, event(rack=14, carrier="north"))
+    assert "rack" not in bronze.columns
     assert bronze.first()._corrupt_record is None
 
 
@@ -50,8 +50,8 @@ def test_ingestion_columns(spark, land, tmp_path):
 
 
 def test_offsets_are_honoured(frame):
-    row = frame(event(timestamp="2025-06-01T14:00:00+02:00")).first()
-    assert str(row.timestamp) == "2025-06-01 12:00:00"
+    row = frame(event(timestamp="2024-11-05T12:00:00+02:00")).first()
+    assert str(row.timestamp) == "2024-11-05 10:00:00"
 
 
 def test_parsing_text_gives_what_the_file_reader_gives(spark, land, tmp_path):

@@ -87,7 +87,7 @@ def test_admission_limit_makes_several_batches(spark, tmp_path, land):
 
 
 def report(batch, rows=1, **more):
-    return {"batchId": batch, "numInputRows": rows, "timestamp": f"2025-06-01T12:00:{batch % 60:02d}.000Z",
+    return {"batchId": batch, "numInputRows": rows, "timestamp": f"2024-11-05T10:00:{batch % 60:02d}.000Z",
             "stateOperators": [], "durationMs": {"addBatch": 1, "triggerExecution": 2}, **more}
 
 
@@ -143,48 +143,48 @@ def test_replays_are_dropped_across_restarts(run, land, salts):
 
 def test_rows_behind_the_watermark_are_late(run, land):
     """24 hours behind the newest event is late, a millisecond newer is not."""
-    land(event(timestamp="2025-06-03T12:00:00Z"), name="now.json")
+    land(event(timestamp="2024-11-07T10:00:00Z"), name="now.json")
     run.to_bronze()
     run.to_silver()
     land(
-        event(device_id="late", timestamp="2025-06-01T12:00:00Z"),
-        event(device_id="edge", timestamp="2025-06-02T12:00:00Z"),
-        event(device_id="in_time", timestamp="2025-06-02T12:00:00.001Z"),
+        event(device_id="late", timestamp="2024-11-05T10:00:00Z"),
+        event(device_id="edge", timestamp="2024-11-06T10:00:00Z"),
+        event(device_id="in_time", timestamp="2024-11-06T10:00:00.001Z"),
         name="old.json",
     )
     run.to_bronze()
     query = run.to_silver()
     assert run.rows("bronze").count() == 4
     kept = {r.device_id for r in run.rows("silver").collect()}
-    assert kept == {"device-0001", "in_time"}
+    assert kept == {"unit-07", "in_time"}
     metrics = layer_metrics(totals_frame(run.spark, {"silver": query})).first()
     assert (metrics.records_processed, metrics.late_rows, metrics.errors) == (3, 2, 0)
 
 
 def test_nothing_is_late_in_the_first_batch(run, land):
-    land(event(timestamp="2025-06-03T12:00:00Z"), event(timestamp="2025-06-01T12:00:00Z"))
+    land(event(timestamp="2024-11-07T10:00:00Z"), event(timestamp="2024-11-05T10:00:00Z"))
     run.to_bronze()
     run.to_silver()
     assert run.rows("silver").count() == 2
 
 
 def test_silver_is_partitioned_by_event_date(run, land):
-    land(event(timestamp="2025-06-01T12:00:00Z"), event(timestamp="2025-06-02T12:00:00Z"))
+    land(event(timestamp="2024-11-05T10:00:00Z"), event(timestamp="2024-11-06T10:00:00Z"))
     run.to_bronze()
     run.to_silver()
     dates = run.spark.read.parquet(run.silver).select("event_date").distinct().count()
-    assert dates == 2 and run.rows("silver").where("timestamp >= '2025-06-02'").count() == 1
+    assert dates == 2 and run.rows("silver").where("timestamp >= '2024-11-06'").count() == 1
 
 
 def test_gold_stream_emits_closed_windows_only(run, land):
-    land(*[event(m) for m in (0, 30, 60)], event(timestamp="2025-06-02T13:30:00Z"))
+    land(*[event(m) for m in (0, 30, 60)], event(timestamp="2024-11-06T11:30:00Z"))
     run.to_bronze()
     run.to_silver()
     run.to_gold()
     streamed = run.spark.read.parquet(run.gold)
-    assert [r.window_start.hour for r in streamed.collect()] == [12]
-    batch = compute_device_summary(run.rows("silver")).where(F.hour("window_start") == 12)
-    assert streamed.exceptAll(batch.where("to_date(window_start) = '2025-06-01'")).count() == 0
+    assert [r.window_start.hour for r in streamed.collect()] == [10]
+    batch = compute_device_summary(run.rows("silver")).where(F.hour("window_start") == 10)
+    assert streamed.exceptAll(batch.where("to_date(window_start) = '2024-11-05'")).count() == 0
 
 
 def test_a_failing_stream_is_reported(run, land, spark):

@@ -1,47 +1,41 @@
-"""Governance input and what each layer must make of it (12 lines, 8 survive)."""
+"""A mixed feed of 12 lines, what Silver must make of it (8 survive), and a small Gold input."""
 
 from tests.conftest import event
 
 GOVERNANCE = (
-    event(0, device_id="valid_clean", temperature=22, pressure=1013.25, battery_level=90),
-    event(1, device_id="valid_clean_2", temperature=24, humidity=60, pressure=1010, battery_level=85),
-    event(2, device_id="neg_humidity", temperature=22, humidity=-15, pressure=1013, battery_level=80),
-    event(3, device_id="extreme_temp", temperature=300, pressure=1013, battery_level=75),
-    event(4, device_id="low_pressure", temperature=22, pressure=800, battery_level=70),
-    event(5, device_id="multi_anomaly", temperature=-80, pressure=1200, battery_level=50),
-    event(6, device_id=None, temperature=22, pressure=1013, battery_level=90),
-    event(7, device_id="no_timestamp", timestamp=None, temperature=22, pressure=1013, battery_level=90),
-    event(
-        8,
-        device_id="anomaly_quality",
-        temperature=200,
-        pressure=1013,
-        battery_level=80,
-        location=None,
-        firmware_version=None,
-    ),
-    event(9, device_id="dup_device", temperature=22, pressure=1013, battery_level=88),
-    event(9, device_id="dup_device", temperature=22, pressure=1013, battery_level=88),
-    "this is not valid json",
+    '{"device_id": "torn", "temperature": 2',
+    event(0, device_id="frozen", temperature=-60),
+    event(1, device_id="dry", humidity=-4),
+    event(7, device_id="echo"),
+    event(2, device_id="summit", pressure=873.25),
+    event(7, device_id="echo"),
+    event(3, device_id="burning", temperature=151, pressure=1105.25, battery_level=20),
+    event(4, device_id=None),
+    event(6, device_id="bare", temperature=170, location=None, firmware_version=None, battery_level=60),
+    event(5, device_id="timeless", timestamp=None),
+    event(8, device_id="steady"),
+    event(9, device_id="steady_cool", temperature=20, humidity=65, battery_level=40),
 )
 
+# Worked out by hand: z from populations (22, 5), (55, 10), (1013.25, 10); quality is the share of
+# six fields, times 0.9 if flagged; health is 0.4 quality + 0.3 (1 - rate) + 0.3 battery / 100.
 # device: humidity, flags T/H/P/any, z T/H/P, quality, rate, health, tier
 EXPECTED = {
-    "anomaly_quality": (55, (True, False, False, True), (35.6, 0, -0.03), 0.6, 1, 0.48, "critical"),
-    "dup_device": (55, (False, False, False, False), (0, 0, -0.03), 1.0, 0, 0.964, "healthy"),
-    "extreme_temp": (55, (True, False, False, True), (55.6, 0, -0.03), 0.9, 1, 0.585, "warning"),
-    "low_pressure": (55, (False, False, True, True), (0, 0, -21.33), 0.9, 1, 0.57, "warning"),
-    "multi_anomaly": (55, (True, False, True, True), (-20.4, 0, 18.68), 0.9, 1, 0.51, "warning"),
-    "neg_humidity": (0, (False, False, False, False), (0, -5.5, -0.03), 1.0, 0, 0.94, "healthy"),
-    "valid_clean": (55, (False, False, False, False), (0, 0, 0), 1.0, 0, 0.97, "healthy"),
-    "valid_clean_2": (60, (False, False, False, False), (0.4, 0.5, -0.33), 1.0, 0, 0.955, "healthy"),
+    "bare": (48, (True, False, False, True), (29.6, -0.7, -1.0), 0.6, 1, 0.42, "critical"),
+    "burning": (48, (True, False, True, True), (25.8, -0.7, 9.2), 0.9, 1, 0.42, "critical"),
+    "dry": (0, (False, False, False, False), (0.5, -5.5, -1.0), 1.0, 0, 0.973, "healthy"),
+    "echo": (48, (False, False, False, False), (0.5, -0.7, -1.0), 1.0, 0, 0.973, "healthy"),
+    "frozen": (48, (True, False, False, True), (-16.4, -0.7, -1.0), 0.9, 1, 0.633, "warning"),
+    "steady": (48, (False, False, False, False), (0.5, -0.7, -1.0), 1.0, 0, 0.973, "healthy"),
+    "steady_cool": (65, (False, False, False, False), (-0.4, 1.0, -1.0), 1.0, 0, 0.82, "healthy"),
+    "summit": (48, (False, False, True, True), (0.5, -0.7, -14.0), 0.9, 1, 0.633, "warning"),
 }
 
 GOLD_EVENTS = (
-    event(0, temperature=20, humidity=50, battery_level=90),
-    event(1, temperature=22, humidity=55, battery_level=89),
-    event(2, temperature=24, humidity=60, battery_level=88),
-    event(0, device_id="device-0002", temperature=22, battery_level=75),
-    event(1, device_id="device-0002", temperature=200, battery_level=74),
-    event(0, device_id="device-0003", temperature=22, pressure=1200, battery_level=15),
+    event(0, device_id="unit-09", pressure=1150, battery_level=12),
+    event(1, device_id="unit-08", temperature=180, battery_level=65),
+    event(2, temperature=24, humidity=53, battery_level=92),
+    event(0, temperature=18, humidity=44, battery_level=96),
+    event(0, device_id="unit-08", battery_level=66),
+    event(1, temperature=21, humidity=50, battery_level=94),
 )

@@ -330,8 +330,8 @@ def schema_drift(spark, sf):
     known = bronze(spark, sf).where(F.col("_corrupt_record").isNull())
     drifted = F.struct(
         *TELEMETRY_COLUMNS,
-        (F.col("pressure") / -10).alias("signal_strength"),
-        F.lit("5G").alias("network_type"),
+        (F.col("pressure") * 2).alias("rack"),
+        F.lit("north").alias("carrier"),
     )
     fmt = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
     known.select(F.to_json(drifted, fmt).alias("value")).write.text(at.landing)
