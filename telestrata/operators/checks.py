@@ -129,18 +129,28 @@ def reconciles(table: str, column: str, with_rows_of: str) -> Rule:
 
 
 def covers(table: str, column: str, of: str) -> Rule:
-    """Both tables must hold the same number of distinct values of ``column``."""
+    """Both tables must hold the same set of values of ``column``.
+
+    Sets are compared by their size and by the sum of the hashes of their values, so
+    different values in equal numbers don't pass.
+    """
     a, b = _distinct(table, column), _distinct(of, column)
+    x, y = _hashed(table, column), _hashed(of, column)
     return Rule(
         f"covers({column})",
         table,
         _ref(a) - _ref(b),
-        _ref(a) == _ref(b),
+        (_ref(a) == _ref(b)) & _ref(x).eqNullSafe(_ref(y)),
         f"= distinct in {of}",
-        (a, b),
+        (a, b, x, y),
     )
 
 
+def _hashed(table: str, column: str) -> Measure:
+    hashed = F.expr(f"sum(DISTINCT cast(xxhash64(`{column}`) AS decimal(20, 0)))")
+    return Measure(table, f"hashes of {column}", hashed)
+
+
 def _distinct(table: str, column: str) -> Measure:
     return Measure(table, f"distinct {column}", F.count_distinct(column))
 

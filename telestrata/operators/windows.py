@@ -59,7 +59,8 @@ def window_stats(
     # (device_id, window_start) finds the data already partitioned.
     keyed = silver.withColumn("window_start", bucket["start"])
     grouped = keyed.groupBy("device_id", "window_start").agg(*measures)
-    end = F.col("window_start") + F.expr(f"INTERVAL {duration}")
+    # A start lies in its own window, so this is that window's end in any time zone.
+    end = F.window("window_start", duration)["end"]
     return grouped.select(
         "device_id",
         "window_start",
@@ -154,22 +155,28 @@ def project_ml_features(stats: DataFrame, config: Config = None) -> DataFrame:
     return stats.selectExpr(*KEYS, *columns)
 
 
-def compute_device_summary(silver: DataFrame, window: str = "1 hour") -> DataFrame:
-    return project_device_summary(window_stats(silver, window))
+def compute_device_summary(
+    silver: DataFrame, window: str | None = None, config: Config = None
+) -> DataFrame:
+    return project_device_summary(window_stats(silver, window, config))
 
 
-def compute_anomaly_summary(silver: DataFrame, window: str = "1 hour") -> DataFrame:
-    return project_anomaly_summary(window_stats(silver, window))
+def compute_anomaly_summary(
+    silver: DataFrame, window: str | None = None, config: Config = None
+) -> DataFrame:
+    return project_anomaly_summary(window_stats(silver, window, config), config)
 
 
 def compute_device_health(
-    silver: DataFrame, config: Config = None, window: str = "1 hour"
+    silver: DataFrame, config: Config = None, window: str | None = None
 ) -> DataFrame:
-    return project_device_health(window_stats(silver, window), config)
+    return project_device_health(window_stats(silver, window, config), config)
 
 
-def compute_ml_features(silver: DataFrame, window: str = "1 hour") -> DataFrame:
-    return project_ml_features(window_stats(silver, window))
+def compute_ml_features(
+    silver: DataFrame, window: str | None = None, config: Config = None
+) -> DataFrame:
+    return project_ml_features(window_stats(silver, window, config), config)
 
 
 GOLD_TABLES = {

@@ -27,20 +27,22 @@ def build_and_write(
     settings = Settings.of(config)
     spark = silver.sparkSession
     staged_path = workspace(spark, "window-stats")
-    window_stats(silver, config=settings).write.parquet(staged_path)
-    stats = spark.read.parquet(staged_path)
+    staged = window_stats(silver, config=settings)
 
     def write(name: str) -> int:
+        stats = spark.read.schema(staged.schema).parquet(staged_path)
         table = GOLD_TABLES[name](stats, settings)
         stamped = table.withColumn("_aggregated_at", F.current_timestamp())
         return snapshots.commit(stamped, f"{gold_path}/{name}").row_count
 
-    # The tables do not depend on each other, so their jobs may overlap.
-    with ThreadPoolExecutor(len(GOLD_TABLES)) as threads:
-        rows = threads.map(inheritable_thread_target(spark)(write), GOLD_TABLES)
-        counts = dict(zip(GOLD_TABLES, rows))
-    delete_folder(spark, staged_path)
-    return counts
+    try:
+        staged.write.parquet(staged_path)
+        # The tables do not depend on each other, so their jobs may overlap.
+        with ThreadPoolExecutor(len(GOLD_TABLES)) as threads:
+            rows = threads.map(inheritable_thread_target(spark)(write), GOLD_TABLES)
+            return dict(zip(GOLD_TABLES, rows))
+    finally:
+        delete_folder(spark, staged_path)
 
 
 def read_gold(spark: SparkSession, gold_path: str, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -11,20 +12,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_folders: list[tuple[SparkSession, str]] = []
+
+
 def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh folder that every executor can reach.
+    """A fresh folder that every executor can reach; it goes when the process ends.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a temporary folder of its own, which goes
-    away when the process ends.
+    The cluster names the shared folder in ``spark.checkpoint.dir``; a folder set with
+    ``setCheckpointDir`` counts too. Only a local session without either gets a temporary folder
+    of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and hasattr(spark.sparkContext, "getCheckpointDir"):
+        root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="telestrata-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if not _folders:
+        atexit.register(_remove_folders)
+    _folders.append((spark, path))
+    return path
+
+
+def _remove_folders() -> None:
+    """Best effort: the session may have ended before."""
+    for spark, path in _folders:
+        with contextlib.suppress(Exception):
+            delete_folder(spark, path)
 
 
 def data_files(spark: SparkSession, *paths: str) -> DataFrame:

@@ -30,7 +30,7 @@ from telestrata.sources.events import (
 )
 from telestrata.sources.landing import parse_lines
 from telestrata.sources.layers import read_layer
-from telestrata.sources.storage import workspace
+from telestrata.sources.storage import data_files, workspace
 from telestrata.streaming.jobs import start_bronze, start_gold, start_silver
 from telestrata.streaming.metrics import layer_metrics, totals_frame
 from telestrata.streaming.sinks import drained
@@ -71,7 +71,11 @@ def features(spark, sf):
 
 
 def gold_tables(spark, sf) -> dict[str, DataFrame]:
-    stats = windows.window_stats(silver(spark, sf))
+    """The four tables over one wide aggregate, which is written once and read per table."""
+    path = workspace(spark, "window-stats")
+    aggregate = windows.window_stats(silver(spark, sf))
+    aggregate.write.parquet(path)
+    stats = spark.read.schema(aggregate.schema).parquet(path)
     return {
         name: project(stats, Settings()) for name, project in windows.GOLD_TABLES.items()
     }
@@ -506,12 +510,13 @@ def maintain(spark, sf):
 
 # Model. One fitted model serves all model queries of a session and scale.
 
-_MODELS: dict[tuple[str, str], tuple] = {}
+_MODELS: dict[tuple[str, str, str], tuple] = {}
 
 
 def trained(spark, sf):
     """Labelled features (written once, so no pass recomputes them) and the model."""
-    key = (spark.sparkContext.applicationId, sf)
+    files = data_files(spark, f"{sf}/events.parquet").orderBy("path").collect()
+    key = (spark.sparkContext.applicationId, sf, str(files))
     if key not in _MODELS:
         path = workspace(spark, "labelled-features")
         model.split(model.add_label(features(spark, sf))).write.parquet(path)
@@ -531,6 +536,35 @@ def ml_split(spark, sf):
     return labelled.groupBy("side", model.LABEL).agg(F.count(F.lit(1)).alias("n"))
 
 
+def rule_scored(spark, sf):
+    """The test windows under a fixed score with ties, so that every figure can be checked."""
+    labelled = model.split(model.add_label(features(spark, sf))).where("side = 'test'")
+    score = F.least(F.lit(1.0), F.coalesce("temp_zscore_abs_max", F.lit(0.0)) / 20.0)
+    scored = labelled.drop("side").withColumn("predicted_prob", score)
+    return scored.withColumn("predicted_anomalous", (F.col("predicted_prob") > 0.1).cast("int"))
+
+
+def rule_auc(spark, sf):
+    return rounded(model.auc(model.roc_points(rule_scored(spark, sf))), ["auc"], 9)
+
+
+def rule_drift(spark, sf):
+    return rounded(without_zone(model.drift(rule_scored(spark, sf))), ["gap"], 9)
+
+
+def ml_weights(spark, sf):
+    labelled = model.add_label(features(spark, sf))
+    weighted = model.add_class_weights(labelled)
+    return weighted.groupBy(model.LABEL).agg(F.max("weight").alias("weight"))
+
+
+def ml_columns(spark, sf):
+    """The features that the model may see, with their category."""
+    names = model.model_features(features(spark, sf))
+    rows = features(spark, sf).limit(1).select(F.explode(F.array(*map(F.lit, names))).alias("feature"))
+    return rows.withColumn("category", model.category(F.col("feature")))
+
+
 def ml_train(spark, sf):
     labelled, fitted = trained(spark, sf)
     scored = model.score(fitted, labelled.where(F.col("side") == "train").drop("side"))
@@ -672,6 +706,14 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ml_label": lambda s, d: model.class_balance(model.add_label(features(s, d))),
         "ml_split": ml_split,
         "ml_train": ml_train,
+        "ml_weights": ml_weights,
+        "ml_columns": ml_columns,
+        "rule_report": lambda s, d: model.classification_report(rule_scored(s, d)),
+        "rule_confusion": lambda s, d: model.confusion_matrix(rule_scored(s, d)),
+        "rule_roc": lambda s, d: model.roc_points(rule_scored(s, d)),
+        "rule_auc": rule_auc,
+        "rule_alerts": lambda s, d: without_zone(model.alerts(rule_scored(s, d), 0.15)),
+        "rule_drift": rule_drift,
         "ml_report": lambda s, d: model.classification_report(scored_test(s, d)),
         "ml_confusion": lambda s, d: model.confusion_matrix(scored_test(s, d)),
         "ml_roc": ml_roc,

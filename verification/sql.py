@@ -355,6 +355,51 @@ LATE = """
 usable as (select timestamp from bronze where _corrupt_record is null and device_id is not null),
 cut as (select date_trunc('milliseconds', max(timestamp)) - interval 24 hours as edge from usable)
 """
+# The split of the model: leading hash digits of the window's key and the seed.
+LABELLED = f"""
+labelled as (
+  select *, cast(anomaly_rate > 0 as int) as {MODEL_LABEL},
+    case when cast(concat('0x', substr(md5(concat_ws('|', device_id,
+      strftime(window_start, '%Y-%m-%d %H:%M:%S'), '42')), 1, 8)) as bigint) % 1000000 < 700000
+      then 'train' else 'test' end as side
+  from ml_features)
+"""
+RULE_SCORED = """
+scored as (
+  select *, cast(predicted_prob > 0.1 as int) as predicted_anomalous from (
+    select *, least(1.0::double, coalesce(temp_zscore_abs_max, 0) / 20.0::double) as predicted_prob
+    from labelled where side = 'test'))
+"""
+ROC = f"""
+roc as (
+  select predicted_prob as threshold,
+    sum(neg) over above / all_neg as fpr, sum(pos) over above / all_pos as tpr,
+    neg / all_neg as fpr_step, pos / all_pos as tpr_step
+  from (
+    select *, sum(pos) over () as all_pos, sum(neg) over () as all_neg from (
+      select predicted_prob, cast(count(*) filter (where {MODEL_LABEL} = 1) as double) as pos,
+        cast(count(*) filter (where {MODEL_LABEL} = 0) as double) as neg
+      from scored group by 1))
+  window above as (order by predicted_prob desc))
+"""
+LEAKING = (
+    "anomaly_count", "anomaly_rate", "temp_anomaly_count", "hum_anomaly_count", "pres_anomaly_count"
+)
+
+
+def _category(feature: str) -> str:
+    """The first part of a name that tells its category."""
+    parts = (
+        ("zscore", "Z-Score Features"), ("quality", "Quality Features"), ("battery", "Battery Features"),
+        ("temp", "Temperature Sensor"), ("hum", "Humidity Sensor"), ("pres", "Pressure Sensor"),
+    )
+    return next((name for part, name in parts if part in feature), "Other")
+
+
+def _over(part: str, whole: str) -> str:
+    return f"coalesce(cast({part} as double) / nullif({whole}, 0), 0)"
+
+
 REPEATED = (
     "select count(*) from (select 1 from {0} group by device_id, {1} having count(*) > 1)"
 )
@@ -753,6 +798,45 @@ def oracles() -> dict[str, str]:
             "cast(count(*) as double) / sum(count(*)) over () as share "
             "from ml_features group by 1"
         ),
+        "ml_split": gold(
+            f"select side, {MODEL_LABEL}, count(*) as n from labelled group by all", LABELLED
+        ),
+        "ml_weights": gold(
+            f"select {MODEL_LABEL}, sum(count(*)) over () / (2.0::double * count(*)) as weight "
+            f"from labelled group by {MODEL_LABEL}", LABELLED,
+        ),
+        "ml_columns": " union all ".join(
+            f"select '{f}' as feature, '{_category(f)}' as category" for f in FEATURES if f not in LEAKING
+        ),
+        "rule_report": gold(" union all ".join(
+            f"select '{name}' as class, {_over('hit', 'hit + false_hit')} as precision, "
+            f"{_over('hit', 'hit + missed')} as recall, "
+            f"{_over('2.0::double * hit / nullif(hit + false_hit, 0) * (hit::double / nullif(hit + missed, 0))', '(hit::double / nullif(hit + false_hit, 0) + hit::double / nullif(hit + missed, 0))')} as f1, "
+            "hit + missed as support from ("
+            f"select count(*) filter (where {MODEL_LABEL} = {c} and predicted_anomalous = {c}) as hit, "
+            f"count(*) filter (where {MODEL_LABEL} <> {c} and predicted_anomalous = {c}) as false_hit, "
+            f"count(*) filter (where {MODEL_LABEL} = {c} and predicted_anomalous <> {c}) as missed from scored)"
+            for c, name in ((0, "Clean"), (1, "Anomalous"))
+        ), LABELLED, RULE_SCORED),
+        "rule_confusion": gold(
+            f"select {MODEL_LABEL} as actual, count(*) filter (where predicted_anomalous = 0) as predicted_clean, "
+            "count(*) filter (where predicted_anomalous = 1) as predicted_anomalous from scored group by 1",
+            LABELLED, RULE_SCORED,
+        ),
+        "rule_roc": gold("select * from roc", LABELLED, RULE_SCORED, ROC),
+        "rule_auc": gold(
+            "select round(sum(fpr_step * (tpr - tpr_step / 2)), 9) as auc from roc", LABELLED, RULE_SCORED, ROC
+        ),
+        "rule_alerts": gold(
+            "select device_id, window_start, window_end, predicted_prob, predicted_anomalous from scored "
+            "where predicted_prob > 0.15", LABELLED, RULE_SCORED,
+        ),
+        "rule_drift": gold(
+            "select *, round(predicted_rate - actual_rate, 9) as gap from ("
+            "select date_trunc('day', window_start)::timestamp as period, count(*) as windows, "
+            f"avg(predicted_anomalous) as predicted_rate, avg({MODEL_LABEL}) as actual_rate from scored group by 1)",
+            LABELLED, RULE_SCORED,
+        ),
         "bronze_stream": bronze(f"select {AS_PARSED} from bronze"),
         "stream_restart": bronze(
             "select case when _corrupt_record is null then location end as location, "
