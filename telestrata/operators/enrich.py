@@ -67,6 +67,11 @@ def only_clean(df: DataFrame) -> DataFrame:
     return df.where(~F.col("_is_anomaly"))
 
 
+def with_prefix(df: DataFrame, prefix: str, column: str = "device_id") -> DataFrame:
+    """Rows whose ``column`` begins with ``prefix``; the filter reaches the scan."""
+    return df.where(F.col(column).startswith(prefix))
+
+
 def processing_latency(silver: DataFrame) -> DataFrame:
     """Seconds from ingestion to the Silver stamp, one row per record."""
     return silver.select(

@@ -11,13 +11,19 @@ DATE_COLUMN = "event_date"
 
 
 def read_layer(
-    spark: SparkSession, path: str, since: str | None = None, until: str | None = None
+    spark: SparkSession,
+    path: str,
+    since: str | None = None,
+    until: str | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """A stored layer, optionally only ``since <= timestamp < until``.
 
-    On a table partitioned by event date the bounds also select the partitions.
+    On a table partitioned by event date the bounds also select the partitions. Without a
+    schema, the columns of all files are merged, so one that came later doesn't vanish.
     """
-    df = spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
+    df = reader.parquet(path)
     dated = DATE_COLUMN in df.columns
     if since is not None:
         bound = F.lit(since).cast("timestamp")

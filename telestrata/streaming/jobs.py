@@ -68,7 +68,7 @@ def start_gold(
 ) -> StreamingQuery:
     """Device summary of the windows that the watermark has closed."""
     settings = Settings.of(config)
-    schema = spark.read.parquet(silver).schema
+    schema = spark.read.option("mergeSchema", "true").parquet(silver).schema
     source = read_table_stream(spark, silver, schema, settings)
     summary = compute_device_summary(
         source.withWatermark("timestamp", settings.watermark), settings.window_duration

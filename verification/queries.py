@@ -29,7 +29,7 @@ from telestrata.sources.events import (
     replayed_stamp,
 )
 from telestrata.sources.landing import parse_lines
-from telestrata.sources.layers import read_layer
+from telestrata.sources.layers import read_layer, read_or_empty
 from telestrata.sources.storage import data_files, workspace
 from telestrata.streaming.jobs import start_bronze, start_gold, start_silver
 from telestrata.streaming.metrics import layer_metrics, totals_frame
@@ -138,6 +138,13 @@ def anomaly_slice(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def prefix_slice(spark, sf):
+    rows = enrich.with_prefix(silver(spark, sf), "device-00")
+    return rows.groupBy("device_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_is_anomaly").alias("anomalies")
+    )
+
+
 def latency(spark, sf):
     return enrich.processing_latency(silver(spark, sf))
 
@@ -417,7 +424,8 @@ def check_storage(spark, sf):
     at = Folders(spark, "check-storage")
     arrive(bronze(spark, sf), at)
     to_bronze(spark, at)
-    return check_stream_storage(spark, "bronze", at.bronze, f"{at.state}/bronze")
+    found = check_stream_storage(spark, "bronze", at.bronze, f"{at.state}/bronze")
+    return found.drop("observed")  # numbers of files and batches depend on the cores
 
 
 # Stored tables
@@ -438,12 +446,24 @@ def gold_build(spark, sf):
     for name in names:
         one = read_gold(spark, root, name).agg(
             F.count(F.lit(1)).alias("row_count"),
+            F.count("_aggregated_at").alias("stamped_rows"),
             F.count_distinct("device_id").alias("devices"),
-        ).select(F.lit(name).alias("table_name"), "row_count", "devices")
+        ).select(F.lit(name).alias("table_name"), "row_count", "stamped_rows", "devices")
         counts = one if counts is None else counts.unionByName(one)
     return counts
 
 
+def empty_or_stored(spark, sf):
+    """A layer before and after it was first written."""
+    rows, path = bronze(spark, sf), workspace(spark, "not-yet")
+    before = read_or_empty(spark, path, rows.schema)
+    counts = [before.select(F.lit("before").alias("time"), "location")]
+    rows.write.parquet(path)
+    after = read_or_empty(spark, path, rows.schema)
+    counts.append(after.select(F.lit("after").alias("time"), "location"))
+    return counts[0].unionByName(counts[1]).groupBy("time", "location").agg(F.count(F.lit(1)).alias("n"))
+
+
 def time_travel(spark, sf):
     return snapshots.rows_by_version(spark, three_appends(spark, sf))
 
@@ -505,7 +525,16 @@ def maintain(spark, sf):
     snapshot_streamed_layer(spark, at.bronze, raw)
     snapshot_streamed_layer(spark, at.silver, clean)
     build_and_write(snapshots.read_version(spark, clean), root, settings)
-    return run_maintenance(spark, raw, clean, root, settings)
+    done = run_maintenance(spark, raw, clean, root, settings)
+    left = {"Bronze": snapshots.read_version(spark, raw), "Silver": snapshots.read_version(spark, clean)}
+    left |= {f"Gold/{name}": read_gold(spark, root, name) for name in windows.GOLD_TABLES}
+    sizes = None
+    for layer, rows in left.items():
+        one = rows.agg(F.count(F.lit(1)).alias("rows_left")).withColumn("layer", F.lit(layer))
+        sizes = one if sizes is None else sizes.unionByName(one)
+    # Whether there was something to compact depends on the cores that wrote the files.
+    kept = F.when(F.col("action") == "expire", F.col("status"))
+    return done.join(sizes, "layer").select("layer", "action", kept.alias("status"), "rows_left")
 
 
 # Model. One fitted model serves all model queries of a session and scale.
@@ -627,6 +656,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_score": quality_score,
         "silver": silver,
         "anomaly_slice": anomaly_slice,
+        "prefix_slice": prefix_slice,
         "latency": latency,
         "device_summary": summary,
         "device_summary_30m": lambda s, d: windows.compute_device_summary(
@@ -697,6 +727,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_stream": gold_stream,
         "stream_metrics": stream_metrics,
         "gold_build": gold_build,
+        "empty_or_stored": empty_or_stored,
         "time_travel": time_travel,
         "table_history": table_history,
         "schema_evolution": schema_evolution,

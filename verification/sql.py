@@ -866,11 +866,32 @@ def oracles() -> dict[str, str]:
         ),
         "gold_build": gold(
             " union all ".join(
-                f"select '{t}' as table_name, count(*) as row_count, "
+                f"select '{t}' as table_name, count(*) as row_count, count(*) as stamped_rows, "
                 f"count(distinct device_id) as devices from {t}"
                 for t in ("device_summary", "anomaly_summary", "device_health", "ml_features")
             )
         ),
+        "prefix_slice": silver(
+            f"select device_id, count(*) as n, {cnt('_is_anomaly')} as anomalies from silver "
+            "where starts_with(device_id, 'device-00') group by device_id"
+        ),
+        "empty_or_stored": bronze("select 'after' as time, location, count(*) as n from bronze group by location"),
+        "check_storage": bronze(
+            "select c || ' exist' as \"check\", 'bronze' as layer, case when n > 0 then 'pass' else 'fail' end "
+            "as status, e as expected from (select count(*) as n from bronze), "
+            "(values ('files', '> 0'), ('offsets', '> 0'), ('commits', '= offsets')) as t(c, e)"
+        ),
+        "maintain": gold(
+            "select layer, action, case when action = 'expire' then "
+            "case when layer like 'Gold%' then 'kept forever' else 'expired' end end as status, rows_left "
+            "from (select 'Bronze' as layer, count(*) as rows_left from bronze "
+            "union all select 'Silver', count(*) from silver "
+            + "".join(
+                f"union all select 'Gold/{t}', count(*) from {t} "
+                for t in ("device_summary", "anomaly_summary", "device_health", "ml_features")
+            )
+            + "), (values ('compact'), ('expire')) as a(action)"
+        ),
         "time_travel": bronze(
             "select *, row_count - first_value(row_count) over (order by version) "
             "as added_since_first from (select 0::bigint as version, "
