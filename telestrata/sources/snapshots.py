@@ -12,10 +12,11 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,11 +49,16 @@ def _versions(spark: SparkSession, path: str) -> tuple[list[Row], set[str]]:
 
 
 def commit(
-    df: DataFrame, path: str, mode: str = "overwrite", operation: str | None = None
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    operation: str | None = None,
+    keep: Sequence[str] = (),
 ) -> Row:
     """Write ``df`` as the next version and return its history row.
 
-    ``append`` keeps the rows of the last version, ``overwrite`` replaces them.
+    ``append`` keeps the rows of the last version, ``overwrite`` replaces them but for
+    those in the folders ``keep``.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -69,7 +75,7 @@ def commit(
     size = data_files(spark, f"{path}/{folder}").agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("num_bytes"), F.lit(0)).alias("b")
     ).first()
-    kept = list(versions[-1].folders) if appended else []
+    kept = list(versions[-1].folders) if appended else list(keep)
     return _log(
         spark,
         path,
@@ -128,20 +134,29 @@ def read_version(
     return spark.read.schema(columns).parquet(*[f"{path}/{f}" for f in folders])
 
 
+def _folder_of(file: Column) -> Column:
+    """The data folder of a file of a table, as history rows name it."""
+    return F.regexp_extract(file, r"data/[^/]+", 0)
+
+
 def rows_by_version(spark: SparkSession, path: str) -> DataFrame:
-    """Row count of every readable version and the rows added since the first."""
+    """Row count of every readable version and the rows added since the first.
+
+    Every folder is counted once, however many versions hold it.
+    """
     versions, gone = _versions(spark, path)
-    counts = None
-    for r in versions:
-        if gone.intersection(r.folders):
-            continue
-        one = read_version(spark, path, r.version).agg(
-            F.count(F.lit(1)).alias("row_count")
-        ).select(F.lit(r.version).cast("bigint").alias("version"), "row_count")
-        counts = one if counts is None else counts.unionByName(one)
-    # One row per version, so the minimum is taken over few rows.
-    first = counts.agg(F.min_by("row_count", "version").alias("n")).first().n
-    return counts.withColumn("added_since_first", F.col("row_count") - F.lit(first))
+    readable = [r for r in versions if not gone.intersection(r.folders)]
+    parts = [(r.version, f) for r in readable for f in r.folders]
+    held = spark.createDataFrame(parts, "version bigint, folder string")
+    columns = StructType.fromJson(json.loads(readable[-1].columns))
+    rows = spark.read.schema(columns).parquet(*sorted({f"{path}/{f}" for _, f in parts}))
+    counts = rows.groupBy(_folder_of(F.input_file_name()).alias("folder")).count()
+    totals = held.join(counts, "folder", "left").groupBy("version").agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("row_count")
+    )
+    # One row per version.
+    first = F.first("row_count").over(Window.orderBy("version"))
+    return totals.withColumn("added_since_first", F.col("row_count") - first)
 
 
 def merged_history(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
@@ -156,22 +171,28 @@ def merged_history(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
 def compact(
     spark: SparkSession, path: str, target_bytes: int = 128 * 1024 * 1024
 ) -> Row | None:
-    """Rewrite the last version into files of about ``target_bytes``.
+    """Rewrite the small files of the last version into files of about ``target_bytes``.
 
-    The scan already packs small files into partitions, and ``coalesce`` merges
+    A folder whose files average at least half the target stays as it is, and the new version
+    refers to it. The scan packs small files into partitions, and ``coalesce`` merges
     partitions without a shuffle. Returns ``None`` if there is nothing to gain.
     """
     versions, _ = _versions(spark, path)
     current = versions[-1]
-    size = data_files(spark, *[f"{path}/{f}" for f in current.folders]).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("num_bytes"), F.lit(0)).alias("b")
-    ).first()
-    files = max(1, math.ceil(size.b / target_bytes))
-    if size.n <= files:
-        return None
-    return commit(
-        read_version(spark, path).coalesce(files), path, "overwrite", "COMPACT"
+    sizes = (
+        data_files(spark, *[f"{path}/{f}" for f in current.folders])
+        .groupBy(_folder_of(F.col("path")).alias("folder"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("num_bytes").alias("b"))
+        .collect()  # one row per folder, like the history row
     )
+    small = {r.folder: r for r in sizes if r.b < r.n * target_bytes / 2}
+    files = max(1, math.ceil(sum(r.b for r in small.values()) / target_bytes))
+    if sum(r.n for r in small.values()) <= files:
+        return None
+    columns = StructType.fromJson(json.loads(current.columns))
+    rows = spark.read.schema(columns).parquet(*[f"{path}/{f}" for f in small])
+    kept = [f for f in current.folders if f not in small]
+    return commit(rows.coalesce(files), path, "overwrite", "COMPACT", kept)
 
 
 def expire(

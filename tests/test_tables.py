@@ -10,7 +10,7 @@ from telestrata.plans.maintenance import run_maintenance, snapshot_streamed_laye
 from telestrata.plans.silver import apply_transformations
 from telestrata.settings import Settings
 from telestrata.sources import snapshots
-from telestrata.sources.storage import folder_exists, workspace
+from telestrata.sources.storage import data_files, folder_exists, workspace
 from tests.vectors import GOLD_EVENTS
 
 
@@ -124,6 +124,20 @@ def test_retention_spares_folders_that_later_versions_share(spark, tmp_path):
     assert snapshots.read_version(spark, path).count() == 20
 
 
+def test_compaction_leaves_large_files_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    snapshots.commit(numbers(spark, 0, 100_000).repartition(1), path)
+    large = snapshots.read_version(spark, path).inputFiles()
+    size = sum(r.num_bytes for r in data_files(spark, path).collect())
+    for i in range(3):
+        snapshots.commit(numbers(spark, 100_000 + i, 100_001 + i), path, "append")
+    assert snapshots.compact(spark, path, target_bytes=size).num_files == 1
+    after = snapshots.read_version(spark, path)
+    assert set(large) < set(after.inputFiles()) and len(after.inputFiles()) == 2
+    assert after.count() == 100_003
+    assert snapshots.compact(spark, path, target_bytes=size) is None
+
+
 def test_gold_build_is_repeatable(spark, frame, tmp_path):
     silver = apply_transformations(frame(*GOLD_EVENTS))
     root = str(tmp_path / "gold")
