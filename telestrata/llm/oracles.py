@@ -2,4 +2,81 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from telestrata.llm import urls
+
+
+def _rule(value) -> str:
+    """A case over the rules, the longest first."""
+    cases = []
+    for verdict, host, prefix in sorted(urls.RULES, key=lambda r: -len(r[1] + r[2])):
+        fits = f"(host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '{prefix}')"
+        cases.append(f"when {fits} then '{value(verdict, host, prefix)}'")
+    return f"case {' '.join(cases)} end"
+
+
+def _order(k: int) -> str:
+    """Smoothed probabilities of all grams of ``k`` characters and their contexts."""
+    low = "1.0::double / c.kinds" if k == 0 else "b.{0}_p"
+    below = "" if k == 0 else f"join p{k - 1} b on b.gram = right(h.gram, {k})"
+    shares = ", ".join(
+        f"(h.{s} + greatest(c.{s}_kinds, 1) * ({low.format(s)})) / (c.{s}_n + greatest(c.{s}_kinds, 1)) as {s}_p"
+        for s in ("allow", "block")
+    )
+    return f"""
+h{k} as (select right(gram, {k + 1}) as gram, sum(allow) as allow, sum(block) as block from counts group by 1),
+c{k} as (
+  select left(gram, {k}) as context, sum(allow)::double as allow_n, sum(block)::double as block_n,
+    count(*) filter (where allow > 0) as allow_kinds, count(*) filter (where block > 0) as block_kinds,
+    count(*) as kinds
+  from h{k} group by 1),
+p{k} as (
+  select h.gram, {shares}
+  from h{k} h join c{k} c on c.context = left(h.gram, {k}) {below})"""
+
+
+OP3 = rf"""
+with parts as (
+  select page_id, coalesce(url, '') as u from pages),
+base as (
+  select page_id,
+    translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}') as host,
+    regexp_extract(u, '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+  from parts),
+ruled as (
+  select *, {_rule(lambda v, h, p: h + p)} as rule, {_rule(lambda v, h, p: v)} as by_rule from base),
+texts as (
+  select concat(host, path) as text, by_rule, count(*) as n from ruled group by 1, 2),
+places as (
+  select *, unnest(range(1, length(text) + 1)) as i from texts),
+grams as (
+  select text, by_rule, n, substr(repeat(chr(1), {urls.ORDER}) || text, i, {urls.ORDER + 1}) as gram from places),
+counts as (
+  select gram, sum(case when by_rule = 'allow' then n else 0 end) as allow,
+    sum(case when by_rule = 'block' then n else 0 end) as block
+  from grams group by 1),
+{','.join(_order(k) for k in range(urls.ORDER + 1)).strip()},
+scored as (
+  select text, by_rule, n, cast(sum(ratio) as double) / count(*) as mean
+  from grams join (
+    select gram, cast(round((ln(allow_p) - ln(block_p)) * {urls.SCALE}) as bigint) as ratio from p{urls.ORDER}) r
+  using (gram) group by 1, 2, 3),
+stepped as (select *, cast(floor(mean / {urls.STEP}) as bigint) as step from scored),
+steps as (
+  select step, sum(case when by_rule = 'allow' then n else 0 end) as allow,
+    sum(case when by_rule = 'block' then n else 0 end) as block
+  from stepped where by_rule is not null group by 1),
+judged as (
+  select *, coalesce(sum(allow) over before, 0) - coalesce(sum(block) over before, 0) as wrong
+  from steps window before as (order by step rows between unbounded preceding and 1 preceding)),
+best as (
+  select case when (select sum(allow) > 0 and sum(block) > 0 from steps)
+    then (select step from judged order by wrong, step limit 1) end as least),
+models as (
+  select distinct text, mean / {urls.SCALE} as score,
+    case when step >= coalesce(least, step) then 'allow' else 'block' end as by_model
+  from stepped, best)
+select page_id, host, path, rule, coalesce(by_rule, by_model, 'allow') as verdict, coalesce(score, 0) as score
+from ruled left join models on models.text = concat(host, path)
+"""
+
+ORACLES: dict[str, str] = {"op3_urls": OP3}
