@@ -63,9 +63,9 @@ def buckets() -> Column:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``(bucket, weight)`` of each bucket in the corpus; at most ``BUCKETS`` rows."""
-    marked = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
-        trusted.select(F.col(doc_id).alias("id"), F.lit(1).alias("trusted")), "id", "left"
-    )
+    # The ids grow with the corpus, so they are shuffled at every size.
+    ids = trusted.select(F.col(doc_id).alias("id"), F.lit(1).alias("trusted")).hint("merge")
+    marked = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(ids, "id", "left")
     counts = (
         with_grams(marked, "text")
         .select("trusted", buckets().alias("bucket"))
