@@ -2,14 +2,19 @@
 
 A document is the multiset of its five-word shingles (lower-cased words between white
 space; a document of fewer words is one shingle). Every shingle sends arrivals of an
-exponential process whose rate is its count; each arrival hits one component of the
-signature, which keeps its earliest shingle. A shingle stops as soon as its next arrival
-is later than all components. Two components agree with the probability Jaccard
-similarity of the documents, which is the Jaccard similarity where shingles don't repeat.
+exponential process, at a rate that grows with the logarithm of its count; each arrival hits
+one component of the signature, which keeps its earliest shingle. A shingle stops as soon as
+its next arrival is later than all components. Two components agree with the probability
+Jaccard similarity of the documents, which is the Jaccard similarity where shingles don't
+repeat.
 
-Bands of six components give buckets. Pairs of a bucket are verified exactly: the
-Jaccard similarity of the shingle sets must reach 0.8. Large buckets aren't multiplied out:
-see ``verified_links``. Linked documents and equal texts form classes.
+Bands of six components give buckets. A pair of a bucket is verified exactly, unless the sizes
+or one-bit sketches of the shingle sets already rule it out: the Jaccard similarity of the sets
+must reach 0.8. Large buckets aren't multiplied out: see ``verified_roots``. Linked documents
+and equal texts form classes.
+
+A pair of similarity 0.8 shares a bucket with a probability of 0.9993; the sketches
+wrongly rule out one in 300,000 of such pairs.
 
 Defined cases: equal texts are one class, also empty ones. A null text is a class of its
 own. An id with several texts stands for all of them. Rows without id belong to the class
@@ -32,8 +37,10 @@ WIDTH = 5
 BANDS, ROWS = 24, 6
 SIGNATURE = BANDS * ROWS
 SIMILAR = (4, 5)  # least similarity, as a fraction
+SKETCH = 1024  # bits of a sketch of the shingle set
+MOST_UNLIKE = 145  # of them may differ: 4.5 deviations above those of a similarity of 0.8
 CHUNK = 200_000  # shingles that a task handles at once
-CENTRES = 8  # factor by which the centres of a bucket grow in each round
+CENTRES = 8  # centres of a bucket in the second round
 
 
 # Shingles
@@ -69,28 +76,28 @@ def _lists(batch: pa.Array) -> Iterator[np.ndarray]:
 # Signatures
 
 
-def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """One row of ``SIGNATURE`` shingles for each ``(distinct shingles, counts)``."""
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int = SIGNATURE) -> np.ndarray:
+    """One row of ``size`` shingles for each ``(distinct shingles, rates)``."""
     n = len(sets)
     element = np.concatenate([s for s, _ in sets])
     rate = np.concatenate([c for _, c in sets]).astype(np.float64)
     doc = np.repeat(np.arange(n), [len(s) for s, _ in sets])
-    earliest = np.full(n * SIGNATURE, np.inf)
-    chosen = np.zeros(n * SIGNATURE, np.uint64)
+    earliest = np.full(n * size, np.inf)
+    chosen = np.zeros(n * size, np.uint64)
     state, when = element.copy(), np.zeros(len(element))
     while len(element):
         state = mixed(state + np.uint64(0x9E3779B97F4A7C15))
         uniform = ((state >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
         when = when - np.log(uniform) / rate
-        hit = (mixed(state ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(SIGNATURE)).astype(np.int64)
-        slot = doc * SIGNATURE + hit
+        hit = (mixed(state ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(size)).astype(np.int64)
+        slot = doc * size + hit
         np.minimum.at(earliest, slot, when)
         won = earliest[slot] == when
         chosen[slot[won]] = element[won]
-        latest = earliest.reshape(n, SIGNATURE).max(axis=1)
+        latest = earliest.reshape(n, size).max(axis=1)
         go = when < latest[doc]
         element, rate, doc, state, when = (x[go] for x in (element, rate, doc, state, when))
-    return chosen.reshape(n, SIGNATURE)
+    return chosen.reshape(n, size)
 
 
 def band_hashes(rows: np.ndarray) -> np.ndarray:
@@ -102,26 +109,49 @@ def band_hashes(rows: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def sketches(rows: np.ndarray) -> np.ndarray:
+    """One bit of each component of ``SKETCH`` components, 64 of them in a number."""
+    bits = (mixed(rows) & np.uint64(1)).reshape(len(rows), SKETCH // 64, 64)
+    return np.bitwise_or.reduce(bits << np.arange(64, dtype=np.uint64), axis=2).view(np.int64)
+
+
+def unlike(a: str, b: str) -> Column:
+    """Number of bits that differ between the sketch columns ``a`` and ``b``."""
+    return F.expr(" + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(SKETCH // 64)))
+
+
+def _chunked(sets: list[tuple[np.ndarray, np.ndarray]], size: int, at_most: int) -> np.ndarray:
+    """Signatures of all sets, a bounded number of shingles at a time."""
+    cost = np.array([max(len(s), 8 * size) for s, _ in sets], np.int64)
+    parts = [signatures(sets[a:b], size) for a, b in slices(cost, at_most)]
+    return np.concatenate([np.empty((0, size), np.uint64), *parts])
+
+
 def _bands(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         sets = [np.unique(shingles(w), return_counts=True) for w in _lists(batch)]
-        full = [s for s in sets if len(s[0])]
-        out = [
-            band_hashes(signatures(full[a:b]))
-            for a, b in slices(np.array([len(s[0]) for s in full], np.int64), CHUNK)
-        ]
-        flat = np.concatenate([np.empty(0, np.int64), *(x.ravel() for x in out)])
-        sizes = np.array([BANDS * bool(len(s[0])) for s in sets], np.int32)
+        rows = _chunked([(s, 1 + np.log2(n)) for s, n in sets if len(s)], SIGNATURE, CHUNK)
+        sizes = np.array([BANDS * bool(len(s)) for s, _ in sets], np.int32)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        yield pa.ListArray.from_arrays(offsets, pa.array(flat))
+        yield pa.ListArray.from_arrays(offsets, pa.array(band_hashes(rows).ravel()))
+
+
+SETS = "struct<shingles:array<long>,sketch:array<long>>"
 
 
 def _shingle_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         sets = [np.unique(shingles(w)) for w in _lists(batch)]
+        rows = _chunked([(s, np.ones(len(s))) for s in sets if len(s)], SKETCH, CHUNK)
         flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        yield pa.ListArray.from_arrays(offsets, pa.array(flat))
+        lists = []
+        for values, sizes in (
+            (flat, [len(s) for s in sets]),
+            (sketches(rows).ravel(), [SKETCH // 64 * bool(len(s)) for s in sets]),
+        ):
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            lists.append(pa.ListArray.from_arrays(offsets, pa.array(values)))
+        yield pa.StructArray.from_arrays(lists, ["shingles", "sketch"])
 
 
 # Links and classes
@@ -153,76 +183,81 @@ def postings(reps: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(rep, shingles)`` of the documents that share a bucket with another."""
+    """``(rep, shingles, sketch, size)`` of the documents that share a bucket with another."""
     ship(docs.sparkSession)
     texts = docs.withColumnRenamed("id", "rep").where("text is not null")
-    return texts.join(wanted, "rep", "left_semi").select(
-        "rep",
-        F.arrow_udf(_shingle_sets, "array<long>")(word_hashes(F.col("text"))).alias("shingles"),
-    )
+    found = F.arrow_udf(_shingle_sets, SETS)(word_hashes(F.col("text")))
+    near = texts.join(wanted, "rep", "left_semi").select("rep", found.alias("s"))
+    return near.select("rep", "s.*", F.size("s.shingles").alias("size"))
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(centre, rep, linked, distance)`` of every pair, by its exact similarity."""
-    left = sets.select(F.col("rep").alias("centre"), F.col("shingles").alias("x"))
-    right = sets.select("rep", F.col("shingles").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    both = pairs.join(right, "rep").join(left, "centre").select(
-        "centre", "rep", common.alias("i"), (F.size("x") + F.size("y") - common).alias("n")
-    )
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``pairs(a, b)`` whose shingle sets are similar enough."""
+    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
     up, down = SIMILAR
-    return both.groupBy("centre", "rep").agg(
-        F.max(F.col("i") * down >= F.col("n") * up).alias("linked"),
-        F.min(1 - F.col("i") / F.col("n")).alias("distance"),
-    )
+    common = F.size(F.array_intersect("x", "y"))
+    similar = common * down >= (F.size("x") + F.size("y") - common) * up
+    return pairs.join(right, "b").join(left, "a").where(similar).select("a", "b")
+
+
+def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with ``root``, that of ``rep`` under ``roots(node, root)``."""
+    named = roots.withColumnRenamed("node", "rep")
+    return rows.join(named, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
 
-def verified_links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(a, b)``: links that connect all pairs of ``buckets(bucket, rep)`` that are similar.
+def verified_roots(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(node, root)`` of the components of all similar pairs in a bucket.
 
-    In each round a few members of every bucket are its centres, one of each group by a
-    hash, and all members are compared with them. A member that is linked to a centre is
-    done in this bucket unless an unlinked member could still be similar to it: Jaccard
-    distance is a metric, so the distances of similar members to any centre differ by at most
-    0.2. The others meet more centres in the next round. A group of near copies of any
-    size ends in the first round with one comparison for each member; no pair is left out,
-    and none is compared whose answer follows from others.
+    ``buckets`` is ``(bucket, rep, sketch, size)``. Members are compared with centres of their
+    bucket in three rounds: with the smallest member, with a few chosen by a hash, and with all
+    members outside the bucket's largest component. After each round components are formed anew,
+    and members of one component are never compared again. The last round covers every pair of
+    different components, so no pair is left out, but a group of near copies of any size takes
+    only a few comparisons for each member.
     """
-    span = 1 - SIMILAR[0] / SIMILAR[1] + 1e-9
-    left, links, centres = buckets, None, 1
-    while True:
-        group = F.pmod(F.xxhash64("rep", F.lit(centres)), F.lit(centres))
-        chosen = (
-            left.groupBy("bucket", group.alias("g"))
-            .agg(F.min("rep").alias("centre"))
-            .select("bucket", "centre")
+    members, roots = buckets.withColumn("root", F.col("rep")), None
+    for turn in range(3):
+        if turn == 0:
+            chosen = members.groupBy("bucket").agg(F.min("rep").alias("rep"))
+        elif turn == 1:
+            group = F.pmod(F.xxhash64("bucket", "rep"), F.lit(CENTRES)).alias("g")
+            chosen = members.groupBy("bucket", group).agg(F.min_by("rep", F.xxhash64("rep")).alias("rep"))
+        else:
+            parts = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+            largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("most"))
+            chosen = members.join(largest, "bucket").where("root <> most")
+        chosen = chosen.select("bucket", "rep").join(members, ["bucket", "rep"])
+        chosen = chosen.select(
+            "bucket", *[F.col(c).alias(f"c_{c}") for c in ("rep", "root", "sketch", "size")]
         )
-        met = left.join(chosen, "bucket").where("rep <> centre")
-        scores = stored(compared(met.select("centre", "rep").distinct(), sets), "compared")
-        new = scores.where("linked").selectExpr("centre as a", "rep as b")
-        links = new if links is None else links.union(new)
-        if scores.where("not linked").isEmpty():
-            return links
-        judged = met.join(scores, ["centre", "rep"])
-        nearest = (
-            judged.where("not linked")
-            .groupBy("bucket", "centre")
-            .agg(F.min("distance").alias("nearest"))
+        up, down = SIMILAR
+        # Similar sets are at most one step of size apart.
+        step = lambda size: F.floor(F.log(size) / F.log(F.lit(down / up))).cast("int")
+        steps = F.array(*[step("c_size") + i for i in (-1, 0, 1)])
+        chosen = chosen.withColumn("c_step", F.explode(steps)).withColumnRenamed("bucket", "c_bucket")
+        plausible = (
+            (F.col("bucket") == F.col("c_bucket"))
+            & (step("size") == F.col("c_step"))
+            & (F.col("root") != F.col("c_root"))
+            & (F.col("size") * down >= F.col("c_size") * up)
+            & (F.col("c_size") * down >= F.col("size") * up)
+            & (unlike("sketch", "c_sketch") <= MOST_UNLIKE)
         )
-        done = (
-            judged.where("linked")
-            .join(nearest, ["bucket", "centre"], "left")
-            .where(F.col("nearest").isNull() | (F.col("distance") + span < F.col("nearest")))
-            .select("bucket", "rep")
+        pairs = members.join(chosen, plausible).select(
+            F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")
         )
-        over = done.union(chosen.withColumnRenamed("centre", "rep")).distinct()
-        rest = left.join(over, ["bucket", "rep"], "left_anti")
-        several = rest.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-        several = several.where("lo <> hi").select("bucket")
-        left = stored(rest.join(several, "bucket", "left_semi"), "unsettled")
-        if left.isEmpty():
-            return links
-        centres *= CENTRES
+        links = verified(pairs.distinct(), sets)
+        if roots is not None:
+            links = links.union(roots.selectExpr("node as a", "root as b"))
+        roots = components(links)
+        if turn < 2:
+            members = rooted(members.drop("root"), roots)
+            several = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+            several = several.where("lo <> hi").select("bucket")
+            members = stored(members.join(several, "bucket", "left_semi"), "unsettled")
+    return roots
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -234,15 +269,16 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 def _roots(docs: DataFrame, prints: DataFrame) -> DataFrame:
     """``(print, class_id)`` of each text that has an id."""
-    reps = representatives(prints).select("print", "bands", "rep")
+    reps = representatives(prints)
     buckets = stored(postings(reps), "buckets")
     sets = stored(shingle_sets(docs, buckets.select("rep").distinct()), "shingle-sets")
+    buckets = buckets.join(sets.select("rep", "sketch", "size"), "rep")
     # An id with several texts joins the groups of equal texts that it is in.
     several = prints.groupBy("id").agg(F.min("print").alias("lo"), F.max("print").alias("hi"))
     several = several.where("id is not null and lo <> hi").select("id")
     own = prints.select("id", "print").join(several, "id", "left_semi").join(reps, "print")
-    links = verified_links(buckets, sets).union(own.selectExpr("id as a", "rep as b"))
-    roots = components(links)
+    found = verified_roots(buckets, sets).selectExpr("node as a", "root as b")
+    roots = components(found.union(own.selectExpr("id as a", "rep as b")))
     found = reps.where("rep is not null").join(roots, reps["rep"] == roots["node"], "left")
     return found.select("print", F.coalesce("root", "rep").alias("class_id"))
 

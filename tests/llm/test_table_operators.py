@@ -87,9 +87,8 @@ def test_chains_are_kept_by_later_rounds(spark):
     rows = [(i, " ".join(step(a))) for i, a in enumerate((0, 12, 24, 36))]
     assert brute_classes(rows) == {0: 0, 1: 0, 2: 0, 3: 0}
     docs = frame(spark, rows).withColumnRenamed("doc_id", "id")
-    reps = neardup.representatives(neardup.signed(docs))
-    buckets = reps.select(F.lit(7).alias("bucket"), "rep", "s.sketch", "s.size")
-    sets = neardup.shingle_sets(docs, buckets.select("rep"))
+    sets = neardup.shingle_sets(docs, docs.selectExpr("id as rep"))
+    buckets = sets.select(F.lit(7).alias("bucket"), "rep", "sketch", "size")
     roots = neardup.verified_roots(buckets, sets)
     assert {(r["node"], r["root"]) for r in roots.collect()} == {(1, 0), (2, 0), (3, 0)}
 
