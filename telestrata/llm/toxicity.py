@@ -195,20 +195,19 @@ def restored_stretch(text: str, logp: np.ndarray) -> str:
     return "".join(reversed(parts))
 
 
-def disguised(points: np.ndarray) -> bool:
-    """Whether a lower-cased text can hold anything that ``SUSPECT`` matches."""
+def suspects(points: np.ndarray) -> np.ndarray:
+    """Ascending places in a lower-cased text where something ``SUSPECT`` looks for stands."""
+    if len(points) < 2:
+        return np.empty(0, np.int64)
     letter = letters()[points]
-    if len(points) < 3:
-        return False
-    sign = _signs()[np.minimum(points, 0x2FFF)]
-    a, b = letter[:-1], letter[1:]
-    if (sign[:-1] & b).any() or (a & (points[1:] >= 48) & (points[1:] <= 57)).any():
-        return True
-    if (letter[2:] & (points[2:] == points[1:-1]) & (points[2:] == points[:-2])).any():
-        return True
-    gap = _gaps()[np.minimum(points, 0x2FFF)]
-    spaced = letter[:-4] & gap[1:-3] & letter[2:-2] & gap[3:-1] & letter[4:]
-    return bool(spaced.any())
+    low = np.minimum(points, 0x2FFF)
+    sign, gap = _signs()[low], _gaps()[low]
+    digit = (points >= 48) & (points <= 57)
+    found = np.zeros(len(points), bool)
+    found[:-1] |= (sign[:-1] & letter[1:]) | (letter[:-1] & digit[1:])
+    found[:-2] |= letter[2:] & (points[2:] == points[1:-1]) & (points[2:] == points[:-2])
+    found[:-4] |= letter[:-4] & gap[1:-3] & letter[2:-2] & gap[3:-1] & letter[4:]
+    return np.flatnonzero(found)
 
 
 @cache
@@ -230,9 +229,23 @@ class Restorer:
         self.memo: dict[str, str] = {}
 
     def __call__(self, text: str) -> str:
-        """``text`` in lower case with its disguised stretches restored."""
+        """``text`` in lower case with its disguised stretches restored.
+
+        A stretch begins at the start of a word, so only words around suspects are tried.
+        """
         low = text.lower()
-        return SUSPECT.sub(self._replace, low) if disguised(code_points(low)) else low
+        parts, upto, tried = [], 0, -1
+        for at in suspects(code_points(low)).tolist():
+            start = at
+            while start > max(upto, tried + 1) and not low[start - 1].isspace():
+                start -= 1
+            if start < upto or start <= tried:
+                continue
+            tried = start
+            if match := SUSPECT.match(low, start):
+                parts += [low[upto:start], self._replace(match)]
+                upto = match.end()
+        return "".join([*parts, low[upto:]]) if parts else low
 
     def _replace(self, match: re.Match) -> str:
         stretch = match.group()
@@ -282,7 +295,8 @@ def top_means(which: np.ndarray, odds: np.ndarray, n: int) -> np.ndarray:
 
 def _present(text: str) -> np.ndarray:
     points, _ = words_only([text])
-    return np.unique(np.concatenate([ngrams(points, order, BITS)[0] for order in ORDERS]))
+    found = np.concatenate([ngrams(points, order, BITS)[0] for order in ORDERS])
+    return np.unique(found).astype(np.int32)  # half the driver's memory
 
 
 def train(texts: list[str], toxic: list[int], totals: tuple[int, int], logp: np.ndarray) -> ToxicityModel:
