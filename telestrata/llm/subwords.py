@@ -80,17 +80,17 @@ def sums_by_text(values: np.ndarray, places: np.ndarray, starts: np.ndarray) ->
 def bounded_sample(rows: DataFrame, label: str, key: str, cap: int, rest: list[str]) -> DataFrame:
     """At most ``cap`` rows of each label, chosen by a hash of ``key``; with ``label_rows``.
 
-    The labels are counted first; the hash then lets through about twice the cap, and
-    only these rows are ranked, so no task receives a whole label. ``label_rows`` is the
-    number of rows that the label has in ``rows``.
+    The labels are counted first (the broadcast side has a row per label); the hash then lets
+    through somewhat more than the cap, and only these rows are ranked, so no task receives a
+    whole label. ``label_rows`` is the number of rows that the label has in ``rows``.
     """
     draw = fresh("draw", rows)
     u = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1 << 30))
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("label_rows"))
     near = (
-        rows.join(counts, label)
+        rows.join(F.broadcast(counts), label)
         .withColumn(draw, u)
-        .where(F.col(draw) < F.lit(float(1 << 30)) * (2 * cap + 50) / F.col("label_rows"))
+        .where(F.col(draw) < F.lit(float(1 << 30)) * (1.3 * cap + 100) / F.col("label_rows"))
     )
     order = Window.partitionBy(label).orderBy(draw, key, *rest)
     ranked = near.withColumn("label_rank", F.row_number().over(order))
