@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telestrata.llm.common import fresh, ship
+from telestrata.llm.common import fresh, ship, slices
 
 MARK = "▁"
 NORMAL, BYTE, UNIGRAM, MERGES = 1, 6, 1, 2  # fixed values of the model format
-MEMO = 2_000_000
+MEMO = 300_000  # pairs of pieces that a worker remembers
+CHUNK = 600_000  # words or pieces that a task handles at once; bounds its memory
 
 
 class Model:
@@ -184,28 +186,40 @@ def encoder(shared):
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = model_of(shared.value)
         for lists in batches:
-            coded = pc.dictionary_encode(lists.flatten())
-            words = coded.dictionary.to_pylist()
-            order = sorted(range(len(words)), key=words.__getitem__)
-            ids: list[list[int]] = [[]] * len(words)
-            for i, found in zip(order, model.encode_sorted([words[i] for i in order])):
-                ids[i] = found
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.concatenate([np.empty(0, np.int32), *(np.array(x, np.int32) for x in ids)])
-            starts = np.cumsum(sizes) - sizes
-            which = coded.indices.to_numpy()
-            each = sizes[which]
-            total = np.concatenate([[0], np.cumsum(each)]).astype(np.int64)
-            # The place of every output: the start of its word plus its place in the word.
-            place = np.repeat(starts[which] - total[:-1], each) + np.arange(total[-1], dtype=np.int64)
-            ends = lists.offsets.to_numpy().astype(np.int64)
-            yield pa.ListArray.from_arrays(
-                pa.array(total[ends - ends[0]].astype(np.int32)), pa.array(flat[place], pa.int32())
-            )
+            parts = [_encoded(model, lists[a:b]) for a, b in slices(_sizes(lists), CHUNK)]
+            yield pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *parts])
 
     return encode
 
 
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return np.diff(lists.offsets.to_numpy())
+
+
+def _encoded(model: Model, lists: pa.Array) -> pa.Array:
+    """Identifiers of each list of words; every distinct word is segmented once."""
+    coded = pc.dictionary_encode(lists.flatten())
+    words = coded.dictionary.to_pylist()
+    order = sorted(range(len(words)), key=words.__getitem__)
+    found = model.encode_sorted([words[i] for i in order])
+    sizes = np.zeros(len(words), np.int64)
+    sizes[order] = [len(x) for x in found]
+    flat = np.fromiter(chain.from_iterable(found), np.int32)
+    # Where the pieces of each word begin in ``flat``, which is in the order of the trie.
+    starts = np.zeros(len(words), np.int64)
+    ordered = sizes[order]
+    starts[order] = np.cumsum(ordered) - ordered
+    which = coded.indices.to_numpy()
+    each = sizes[which]
+    total = np.concatenate([[0], np.cumsum(each)]).astype(np.int64)
+    # The place of every output: the start of its word plus its place in the word.
+    place = np.repeat(starts[which] - total[:-1], each) + np.arange(total[-1], dtype=np.int64)
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    return pa.ListArray.from_arrays(
+        pa.array(total[ends - ends[0]].astype(np.int32)), pa.array(flat[place], pa.int32())
+    )
+
+
 def decoder(shared):
     """A function on columns of identifiers: the text of each row."""
 
@@ -213,7 +227,10 @@ def decoder(shared):
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = model_of(shared.value)
         for lists in batches:
-            yield pa.array([None if ids is None else model.decode(ids) for ids in lists.to_pylist()], pa.string())
+            out: list[str | None] = []
+            for a, b in slices(_sizes(lists), CHUNK):
+                out += [None if ids is None else model.decode(ids) for ids in lists[a:b].to_pylist()]
+            yield pa.array(out, pa.string())
 
     return decode
 
