@@ -179,6 +179,6 @@ def test_exact_mean_of_odd_values(spark):
 
     assert mean(None, None) is None
     assert mean(1.0, float("nan")) is None
-    assert mean(1.0, float("inf")) == float("inf")
-    assert mean(1e300, 1e300) == 1e300
+    assert mean(1.0, float("inf")) is None
+    assert mean(1e300, 1e300) is None
     assert mean(1.25, None, 1.75) == 1.5
