@@ -127,13 +127,23 @@ def _chunked(sets: list[tuple[np.ndarray, np.ndarray]], size: int, at_most: int)
     return np.concatenate([np.empty((0, size), np.uint64), *parts])
 
 
+def _pieces(batch: pa.Array) -> Iterator[list[np.ndarray]]:
+    """The lists of a batch, a bounded number of words at a time."""
+    lists = list(_lists(batch))
+    for a, b in slices(np.array([len(w) for w in lists], np.int64), CHUNK):
+        yield lists[a:b]
+
+
 def _bands(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        sets = [np.unique(shingles(w), return_counts=True) for w in _lists(batch)]
-        rows = _chunked([(s, 1 + np.log2(n)) for s, n in sets if len(s)], SIGNATURE, CHUNK)
-        sizes = np.array([BANDS * bool(len(s)) for s, _ in sets], np.int32)
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        yield pa.ListArray.from_arrays(offsets, pa.array(band_hashes(rows).ravel()))
+        found, sizes = [np.empty((0, BANDS), np.int64)], [0]
+        for piece in _pieces(batch):
+            sets = [np.unique(shingles(w), return_counts=True) for w in piece]
+            sizes += [BANDS * bool(len(s)) for s, _ in sets]
+            full = [(s, 1 + np.log2(n)) for s, n in sets if len(s)]
+            found.append(band_hashes(_chunked(full, SIGNATURE, CHUNK)))
+        offsets = np.cumsum(sizes).astype(np.int32)
+        yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found).ravel()))
 
 
 SETS = "struct<shingles:array<long>,sketch:array<long>>"
@@ -141,17 +151,22 @@ SETS = "struct<shingles:array<long>,sketch:array<long>>"
 
 def _shingle_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        sets = [np.unique(shingles(w)) for w in _lists(batch)]
-        rows = _chunked([(s, np.ones(len(s))) for s in sets if len(s)], SKETCH, CHUNK)
-        flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
-        lists = []
-        for values, sizes in (
-            (flat, [len(s) for s in sets]),
-            (sketches(rows).ravel(), [SKETCH // 64 * bool(len(s)) for s in sets]),
-        ):
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            lists.append(pa.ListArray.from_arrays(offsets, pa.array(values)))
-        yield pa.StructArray.from_arrays(lists, ["shingles", "sketch"])
+        yield pa.concat_arrays([_sets_of([]), *map(_sets_of, _pieces(batch))])
+
+
+def _sets_of(words: list[np.ndarray]) -> pa.Array:
+    """``(shingles, sketch)`` of some documents."""
+    sets = [np.unique(shingles(w)) for w in words]
+    rows = _chunked([(s, np.ones(len(s))) for s in sets if len(s)], SKETCH, CHUNK)
+    flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
+    lists = []
+    for values, sizes in (
+        (flat, [len(s) for s in sets]),
+        (sketches(rows).ravel(), [SKETCH // 64 * bool(len(s)) for s in sets]),
+    ):
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        lists.append(pa.ListArray.from_arrays(offsets, pa.array(values)))
+    return pa.StructArray.from_arrays(lists, ["shingles", "sketch"])
 
 
 # Links and classes

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from telestrata.llm.common import fresh, slices
 
-CHUNK = 600_000  # characters handled at once; bounds the memory of a task
+CHUNK = 300_000  # characters handled at once; bounds the memory of a task
 SPACE = 32
 
 
