@@ -13,8 +13,8 @@ or one-bit sketches of the shingle sets already rule it out: the Jaccard similar
 must reach 0.8. Large buckets aren't multiplied out: see ``verified_roots``. Linked documents
 and equal texts form classes.
 
-A pair of similarity 0.8 shares a bucket with a probability of 0.9993; the sketches
-wrongly rule out one in 300,000 of such pairs.
+A pair of similarity 0.8 shares a bucket with a probability of 0.9993; the sketches, whose bits
+differ independently, wrongly rule out one in 100,000 of such pairs.
 
 Defined cases: equal texts are one class, also empty ones. A null text is a class of its
 own. An id with several texts stands for all of them. Rows without id belong to the class
@@ -38,7 +38,7 @@ BANDS, ROWS = 24, 6
 SIGNATURE = BANDS * ROWS
 SIMILAR = (4, 5)  # least similarity, as a fraction
 SKETCH = 1024  # bits of a sketch of the shingle set
-MOST_UNLIKE = 145  # of them may differ: 4.5 deviations above those of a similarity of 0.8
+MOST_UNLIKE = 145  # of them may differ: 4.4 deviations above those of a similarity of 0.8
 CHUNK = 200_000  # shingles that a task handles at once
 CENTRES = 8  # centres of a bucket in the second round
 
@@ -110,8 +110,13 @@ def band_hashes(rows: np.ndarray) -> np.ndarray:
 
 
 def sketches(rows: np.ndarray) -> np.ndarray:
-    """One bit of each component of ``SKETCH`` components, 64 of them in a number."""
-    bits = (mixed(rows) & np.uint64(1)).reshape(len(rows), SKETCH // 64, 64)
+    """One bit of each component of ``SKETCH`` components, 64 of them in a number.
+
+    A shingle has a bit of its own in each component, so that the bits of a few shingles don't
+    all differ together.
+    """
+    component = mixed(np.arange(1, SKETCH + 1, dtype=np.uint64))
+    bits = (mixed(rows ^ component) & np.uint64(1)).reshape(len(rows), SKETCH // 64, 64)
     return np.bitwise_or.reduce(bits << np.arange(64, dtype=np.uint64), axis=2).view(np.int64)
 
 

@@ -68,6 +68,19 @@ def test_classes_equal_all_pairs(spark, seed):
     assert got == brute_classes(rows)
 
 
+def test_short_texts_at_the_least_similarity(spark):
+    """Pairs of 4 and 5, 8 and 10, 16 and 20 shingles, all of similarity 0.8."""
+    rng, rows = random.Random(8), []
+    for n, more in ((8, 1), (12, 2), (20, 4)) * 70:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n + more)]
+        rows += [" ".join(words[:n]), " ".join(words)]
+    rows = list(enumerate(rows))
+    want = brute_classes(rows)
+    assert all(want[i] == i - i % 2 for i, _ in rows)
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(frame(spark, rows)).collect()}
+    assert got == want
+
+
 def test_one_large_group_of_near_copies(spark):
     rng = random.Random(5)
     base = [f"w{i}" for i in range(150)]
