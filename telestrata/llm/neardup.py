@@ -6,7 +6,8 @@ exponential process, at a rate that grows with the logarithm of its count; each
 one component of the signature, which keeps its earliest shingle. A shingle stops as soon as
 its next arrival is later than all components. Two components agree with the probability
 Jaccard similarity of the documents, which is the Jaccard similarity where shingles don't
-repeat.
+repeat. A document with repeated shingles is signed once more with equal rates, so that copies
+with other repeats meet as well.
 
 Bands of six components give buckets. A pair of a bucket is verified exactly, unless the sizes
 or one-bit sketches of the shingle sets already rule it out: the Jaccard similarity of the sets
@@ -139,16 +140,27 @@ def _pieces(batch: pa.Array) -> Iterator[list[np.ndarray]]:
         yield lists[a:b]
 
 
+def _rates(counts: np.ndarray) -> list[np.ndarray]:
+    """Rates of each signature of a document: by repeats and, if any shingle repeats, all equal."""
+    if not len(counts):
+        return []
+    return [1 + np.log2(counts), np.ones(len(counts))][: 1 + bool((counts > 1).any())]
+
+
 def _bands(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        found, sizes = [np.empty((0, BANDS), np.int64)], [0]
+        found, sizes = [np.empty(0, np.int64)], [0]
         for piece in _pieces(batch):
             sets = [np.unique(shingles(w), return_counts=True) for w in piece]
-            sizes += [BANDS * bool(len(s)) for s, _ in sets]
-            full = [(s, 1 + np.log2(n)) for s, n in sets if len(s)]
-            found.append(band_hashes(_chunked(full, SIGNATURE, CHUNK)))
+            rates = [_rates(n) for _, n in sets]
+            each = [(s, rate) for (s, _), mine in zip(sets, rates) for rate in mine]
+            rows = iter(band_hashes(_chunked(each, SIGNATURE, CHUNK)))
+            for mine in rates:
+                # Both signatures may name the same bucket.
+                found.append(np.unique([next(rows) for _ in mine]).astype(np.int64))
+                sizes.append(len(found[-1]))
         offsets = np.cumsum(sizes).astype(np.int32)
-        yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found).ravel()))
+        yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found)))
 
 
 SETS = "struct<shingles:array<long>,sketch:array<long>>"

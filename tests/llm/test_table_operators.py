@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,6 +141,16 @@ def test_signatures_estimate_probability_jaccard():
     assert abs((rows[0] == rows[1]).mean() - want) < 4 * math.sqrt(want / neardup.SIGNATURE)
 
 
+def test_copies_with_other_repeats_share_a_bucket():
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        words = rng.integers(1, 2**62, 154)
+        often = np.concatenate([np.tile(words[:54], 20), words[54:]])
+        batch = pa.array([words.tolist(), often.tolist(), []], pa.list_(pa.int64()))
+        a, b, none = [set(x) for x in next(neardup._bands(iter([batch]))).to_pylist()]
+        assert a & b and len(a) == neardup.BANDS < len(b) and not none
+
+
 def test_components_equal_union_find(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 340)] + [(5, 5)]
