@@ -70,9 +70,9 @@ _IP = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SCHEME = re.compile(r"[A-Za-z0-9+.-]{1,20}$")
-_ADDRESS = re.compile(r"([^\s/?#\"'<>@]{1,200}@)?([A-Za-z0-9.-]++|\[[0-9A-Fa-f:.]{2,45}\])[^\s\"'<>]*")
+_ADDRESS = re.compile(r"([^\s/?#\"'<>@]++@)?([A-Za-z0-9.-]++|\[[0-9A-Fa-f:.]{2,45}\])[^\s\"'<>]*")
 _IBAN = re.compile(r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)(?![A-Za-z0-9])")
-_AFTER_CUE = re.compile(r"(?:[ _]?(?:number|no|nr|id|key))?\.?[ \t]*[:=#]?[ \t]*[\"']?([A-Za-z0-9][A-Za-z0-9_/-]{3,126}[A-Za-z0-9])(?![A-Za-z0-9@])", re.I)
+_AFTER_CUE = re.compile(r"(?:[ _]?(?:number|no|nr|id|key))?\.?[ \t]*[:=#]?[ \t]*[\"']?([A-Za-z0-9][A-Za-z0-9_/-]{3,}[A-Za-z0-9])(?![A-Za-z0-9@])", re.I)
 
 
 @cache
@@ -86,12 +86,19 @@ def _automaton():
     found.add_word("+", ("plus", 1))
     found.add_word("://", ("scheme", 3))
     for cue in CUES:
-        for form in {cue, cue.capitalize(), cue.upper()}:
-            found.add_word(form, ("cue", len(form)))
+        found.add_word(cue, ("cue", len(cue)))
     found.make_automaton()
     return found
 
 
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
+
+def _lowered(text: str) -> str:
+    """``text`` with ASCII letters in lower case and all offsets as they were."""
+    return text.lower() if text.isascii() else text.translate(_LOWER)
+
+
 def luhn(digits: str) -> bool:
     total = sum(map(int, digits[-1::-2]))
     return (total + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])) % 10 == 0
@@ -133,7 +140,9 @@ def _phone(text: str, at: int) -> tuple[int, int, bool] | None:
     return at, match.end(), 10 <= sum(c in "0123456789" for c in match.group()) <= 15
 
 
-def _account(text: str, start: int, end: int) -> tuple[int, int] | None:
+def _account(text: str, start: int, end: int, floor: int) -> tuple[int, int] | None:
+    if end < floor and text[end : end + 1].isdecimal():
+        return None  # inside the last identifier
     if start and text[start - 1].isalnum() or text[end : end + 1].isalpha():
         return None
     match = _AFTER_CUE.match(text, end)
@@ -161,7 +170,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
         return spans
     upto = dict.fromkeys(KINDS, 0)
     last_digit = -2
-    for at, (kind, size) in _automaton().iter(text):
+    for at, (kind, size) in _automaton().iter(_lowered(text)):
         if kind == "digit":
             fresh_run, last_digit = at != last_digit + 1, at
             for name, parse in (("ip", _ip), ("card", _card)):
@@ -183,7 +192,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
         else:
             start = at - size + 1
             name = "url" if kind == "scheme" else "account"
-            got = _url(text, start) if kind == "scheme" else _account(text, start, at + 1)
+            got = _url(text, start) if kind == "scheme" else _account(text, start, at + 1, upto[name])
             if got and got[0] >= upto[name]:
                 upto[name] = got[1]
                 spans.append((name, *got))

@@ -68,6 +68,18 @@ def test_pii_adds_accounts_and_addresses():
     assert found("see https://host.example/x now") == []
 
 
+def test_pii_cues_of_any_case_and_identifiers_of_any_length():
+    found = lambda t: [(k, t[a:b]) for k, a, b in pii.find_spans(t)]
+    for cue in ("API Key", "Api Key", "Tax ID", "ToKeN", "\u0130 API Key"):
+        assert found(f"my {cue}: ab-cd9ef now") == [("account", "ab-cd9ef")], cue
+    for n in (200, 5000):
+        secret, user = "a1" * n, "me" * n
+        assert found(f"token={secret} now") == [("account", secret)]
+        assert ("url", f"ftp://{user}@host/x") in found(f"see ftp://{user}@host/x now")
+    run = "1/token" * 3 + "1"
+    assert found(f"token={run} token 2bcde") == [("account", run), ("account", "2bcde")]
+
+
 def test_pii_mask_keeps_columns_and_lengths(spark):
     docs = documents(spark, "to a@b.co now", None, "", masked="mine").withColumn("n_chars", F.lit(99))
     rows = pii.mask(docs).orderBy("doc_id").collect()
