@@ -173,7 +173,7 @@ def compact(
 ) -> Row | None:
     """Rewrite the small files of the last version into files of about ``target_bytes``.
 
-    A folder whose files average at least half the target stays as it is, and the new version
+    A folder all of whose files have at least half the target stays as it is, and the new version
     refers to it. The scan packs small files into partitions, and ``coalesce`` merges
     partitions without a shuffle. Returns ``None`` if there is nothing to gain.
     """
@@ -182,10 +182,10 @@ def compact(
     sizes = (
         data_files(spark, *[f"{path}/{f}" for f in current.folders])
         .groupBy(_folder_of(F.col("path")).alias("folder"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("num_bytes").alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("num_bytes").alias("b"), F.min("num_bytes").alias("least"))
         .collect()  # one row per folder, like the history row
     )
-    small = {r.folder: r for r in sizes if r.b < r.n * target_bytes / 2}
+    small = {r.folder: r for r in sizes if r.least < target_bytes / 2}
     files = max(1, math.ceil(sum(r.b for r in small.values()) / target_bytes))
     if sum(r.n for r in small.values()) <= files:
         return None

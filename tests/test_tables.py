@@ -138,6 +138,16 @@ def test_compaction_leaves_large_files_alone(spark, tmp_path):
     assert snapshots.compact(spark, path, target_bytes=size) is None
 
 
+def test_compaction_packs_small_files_beside_a_large_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    large = numbers(spark, 0, 100_000).repartition(1)
+    snapshots.commit(large.union(numbers(spark, 100_000, 100_009, files=9)), path)
+    size = max(r.num_bytes for r in data_files(spark, path).collect())
+    done = snapshots.compact(spark, path, target_bytes=size // 5)
+    assert done is not None and done.num_files < 10
+    assert snapshots.read_version(spark, path).count() == 100_009
+
+
 def test_gold_build_is_repeatable(spark, frame, tmp_path):
     silver = apply_transformations(frame(*GOLD_EVENTS))
     root = str(tmp_path / "gold")
