@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from telestrata.llm import urls
+from telestrata.llm import collocations, spelling, urls
 
 
 def _rule(value) -> str:
@@ -79,4 +79,98 @@ select page_id, host, path, rule, coalesce(by_rule, by_model, 'allow') as verdic
 from ruled left join models on models.text = concat(host, path)
 """
 
-ORACLES: dict[str, str] = {"op3_urls": OP3}
+
+# The checksum of zlib, byte by byte: a table of 256 remainders, then a fold over the bytes.
+CRC32 = r"""
+remainders as (
+  select list(v order by b) as t from (
+    select b, list_reduce(range(8), lambda c, i: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b) as v
+    from (select unnest(range(256)) as b)))"""
+
+
+def _crc32(text: str) -> str:
+    """The checksum of a text; ``t`` are the remainders."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: cast('0x' || x as bigint))"
+    step = "xor(t[xor(c, b) % 256 + 1], c >> 8)"
+    return f"xor(list_reduce({octets}, lambda c, b: {step}, 4294967295), 4294967295)"
+
+
+OP12 = rf"""
+with recursive {CRC32.strip()},
+found as (
+  select coalesce(cast(doc_id as varchar), '') as id, translate(unnest(regexp_extract_all(
+    text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]{{{{{spelling.LEAST_LENGTH},}}}}')), '{spelling.UPPER}', '{spelling.LOWER}') as run
+  from documents),
+runs as (select run, {_crc32("concat(id, ':', run)")} as h from found, remainders),
+words as (
+  select case when h % {spelling.DELETE_EVERY} = 0
+    then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, count(*) as n
+  from runs group by 1),
+counted as (
+  select word, n from words where length(word) >= {spelling.LEAST_LENGTH} and n >= {spelling.LEAST_COUNT}),
+-- Near words share what is left without one letter, or one is that of the other.
+shorter as (
+  select distinct word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+  from (select word, unnest(range(1, length(word) + 1)) as i from counted)),
+near as (
+  select a.word, b.word as other from shorter a join shorter b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select s.word, c.word from shorter s join counted c on c.word = s.rest
+  union select c.word, s.word from shorter s join counted c on c.word = s.rest),
+best as (
+  select near.word, count(*) as n_near, max(o.n) as most,
+    min(struct_pack(n := -o.n, w := other)).w as form
+  from near join counted o on o.word = near.other group by 1),
+formed as (
+  select c.word, c.n, coalesce(n_near, 0) as n_near,
+    case when most >= {spelling.FORM_RATIO} * c.n then form end as form,
+    case when most >= {spelling.FORM_RATIO} * c.n then most end as form_n
+  from counted c left join best using (word)),
+chain as (
+  select word, coalesce(form, word) as at from formed
+  union all
+  select chain.word, f.form from chain join formed f on f.word = chain.at where f.form is not null and chain.at <> chain.word),
+ends as (select chain.word, chain.at as root from chain join formed f on f.word = chain.at where f.form is null)
+select word, form, root, n, n_near, form_n from formed join ends using (word)
+""".replace("{{", "{").replace("}}", "}")
+
+
+def _grams(k: int) -> str:
+    return f"""
+  select lang, {k} as k, array_to_string(w[i : i + {k - 1}], ' ') as phrase
+  from (select lang, w, unnest(range(1, len(w) - {k - 2})) as i from worded)"""
+
+
+_UP, _DOWN = collocations.DROPPED_AT
+OP13 = rf"""
+with pieces as (
+  select coalesce(lang, '{collocations.NO_LANGUAGE}') as lang,
+    unnest(regexp_split_to_array(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents where text is not null),
+worded as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from worded group by 1),
+grams as ({' union all '.join(_grams(k) for k in range(1, collocations.LONGEST + 1))}),
+counts as (select lang, k, phrase, count(*) as n from grams group by all having count(*) >= {collocations.SUPPORT}),
+cuts as (
+  select lang, k, phrase, n as a, c, array_to_string(string_split(phrase, ' ')[1 : c], ' ') as l_part,
+    array_to_string(string_split(phrase, ' ')[c + 1 :], ' ') as r_part
+  from (select *, unnest(range(1, k)) as c from counts where k >= 2)),
+scored as (
+  select cuts.lang, cuts.k, cuts.phrase, a, x.n as l, y.n as r,
+    cast((1000000::hugeint * a * a) // (x.n::hugeint * y.n) as bigint) as score, c
+  from cuts join counts x on x.lang = cuts.lang and x.phrase = l_part
+    join counts y on y.lang = cuts.lang and y.phrase = r_part),
+least as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+longer as (
+  select lang, array_to_string(string_split(phrase, ' ')[i : i + 1], ' ') as phrase, max(n) as outer_n
+  from (select *, unnest([1, 2]) as i from counts where k = 3) group by all),
+kept as (
+  select least.* from least left join longer on longer.lang = least.lang and longer.phrase = least.phrase and k = 2
+  where coalesce({_DOWN} * outer_n < {_UP} * a, true)),
+placed as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank, phrase, a, l, r, n, score from placed join totals using (lang) where rank <= {collocations.TOP}
+"""
+
+ORACLES: dict[str, str] = {"op3_urls": OP3, "op12_spelling": OP12, "op13_collocations": OP13}

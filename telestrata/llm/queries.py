@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telestrata.llm import bpe, decontam, langid, neardup, pii, quality, sentencepiece, toxicity, urls, warc
+from telestrata.llm import (
+    bpe,
+    collocations,
+    decontam,
+    langid,
+    mainhtml,
+    neardup,
+    pii,
+    quality,
+    sentencepiece,
+    spelling,
+    toxicity,
+    urls,
+    warc,
+)
 from telestrata.llm.common import table
 
 
@@ -64,6 +78,18 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op11_html(spark: SparkSession, sf: str) -> DataFrame:
+    return mainhtml.texts(table(spark, sf, "pages"))
+
+
+def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.groups(table(spark, sf, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_neardup": op2_neardup,
@@ -75,4 +101,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_warc": op9_warc,
     "op10_decontaminate": op10_decontaminate,
+    "op11_html": op11_html,
+    "op12_spelling": op12_spelling,
+    "op13_collocations": op13_collocations,
 }
