@@ -316,6 +316,8 @@ def train(texts: list[str], toxic: list[int], totals: tuple[int, int], logp: np.
             rows[t] += 1
     share = (count + 0.5) / (rows[:, None] + 1)
     odds = np.log(share[1] / share[0])
+    if not sets:
+        return ToxicityModel(logp, odds.astype(np.float32), 0.0, 0.0)
     heard = [np.maximum(odds[s], 0) for s in sets[::3]]
     which = np.repeat(np.arange(len(heard)), [len(h) for h in heard])
     x = top_means(which, np.concatenate(heard), len(heard))
