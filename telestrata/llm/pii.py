@@ -12,7 +12,8 @@ Kinds, in the order used for ties:
     a candidate that fails its validation is dropped as a whole.
 ``account``
     an identifier after a cue word ("iban", "account", "passport", "token", ...):
-    at least one digit and five characters, or an IBAN with valid check digits.
+    at least one digit and five characters, digits in groups (at least five), or an IBAN with
+    valid check digits.
 ``url``
     an address with a scheme that names a person or machine: it carries
     ``user@`` or its host is an IP address.
@@ -72,7 +73,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SCHEME = re.compile(r"[A-Za-z0-9+.-]{1,20}$")
 _ADDRESS = re.compile(r"([^\s/?#\"'<>@]++@)?([A-Za-z0-9.-]++|\[[0-9A-Fa-f:.]{2,45}\])[^\s\"'<>]*")
 _IBAN = re.compile(r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)(?![A-Za-z0-9])")
-_AFTER_CUE = re.compile(r"(?:[ _]?(?:number|no|nr|id|key))?\.?[ \t]*[:=#]?[ \t]*[\"']?([A-Za-z0-9][A-Za-z0-9_/-]{3,}[A-Za-z0-9])(?![A-Za-z0-9@])", re.I)
+_AFTER_CUE = re.compile(r"(?:[ _]?(?:number|no|nr|id|key)(?![A-Za-z0-9]))?\.?[ \t]*[:=#]?[ \t]*[\"']?(?=[A-Za-z0-9])", re.I)
+_VALUE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_/-]{3,}[A-Za-z0-9](?![A-Za-z0-9@])")
+_GROUPED = re.compile(r"[0-9]++(?: [0-9]{2,}+)++(?![A-Za-z0-9@_/-])")
 
 
 @cache
@@ -148,10 +151,14 @@ def _account(text: str, start: int, end: int, floor: int) -> tuple[int, int] | N
     match = _AFTER_CUE.match(text, end)
     if not match:
         return None
-    iban = _IBAN.match(text, match.start(1))
+    iban = _IBAN.match(text, match.end())
     if iban and valid_iban(iban.group(1)):
         return iban.span(1)
-    return match.span(1) if any(c in "0123456789" for c in match.group(1)) else None
+    grouped = _GROUPED.match(text, match.end())
+    if grouped and len(grouped.group().replace(" ", "")) >= 5:
+        return grouped.span()
+    value = _VALUE.match(text, match.end())
+    return value.span() if value and any(c in "0123456789" for c in value.group()) else None
 
 
 def _url(text: str, at: int) -> tuple[int, int] | None:
