@@ -2,28 +2,34 @@
 
 Words and word pairs are hashed into buckets. Two multinomials are estimated over them,
 one from the trusted documents and one from the whole corpus; a document's score is
-the mean log-ratio of its n-grams, so length plays no part. Documents below a fixed
-threshold go, as do those that fail plain rules on length and repetition.
+the mean log-ratio of its n-grams, so length plays no part. A fifth of the trusted documents,
+drawn by a hash of the id, takes no part in the estimate; the threshold lies a margin below the
+first percentile of their scores. Documents below it go, as do those that fail plain rules on
+length and repetition.
 
 Everything is DataFrame and SQL functions. Log-ratios are rounded to millionths and summed as
 integers, so a score doesn't depend on the order of the sum.
 
 Defined cases: a null or wordless text has no words, score 0, and fails the rules. A
 document is trusted if it has a label and all its labels say so; labels without an id
-are ignored. Without trusted documents all log-ratios are 0. Every row gets its own
+are ignored. Without trusted documents all log-ratios are 0; without held-out ones the
+threshold is ``THRESHOLD``. Every row gets its own
 result, also repeated ones; extra columns play no part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telestrata.llm.common import stored
+from telestrata.llm.common import id_remainder, stored
 
 BUCKETS = 1 << 17
 SMOOTHING = 1.0
-THRESHOLD = -0.15  # least mean log-ratio, in nats
+HELD_OUT = 5  # one trusted document in so many sets the threshold
+MARGIN = 0.05  # nats below the first percentile of their scores
+STEP = 0.005  # nats; the percentile is found in steps of this size
+THRESHOLD = -0.15  # least mean log-ratio without held-out documents
 SCALE = 1_000_000
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent
@@ -87,6 +93,18 @@ def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", label: str = "quality
     return known.where("least = 1").select(doc_id)
 
 
+def threshold(held_out: DataFrame) -> DataFrame:
+    """One row ``least``: the least score to keep, from the scores of trusted documents.
+
+    Counts per step are exact and bounded by the range of the scores.
+    """
+    steps = held_out.groupBy(F.floor(F.col("score") / STEP).alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("step"))
+    total = F.sum("n").over(Window.partitionBy())
+    low = steps.select("step", upto.alias("upto"), total.alias("total")).where("upto * 100 >= total")
+    return low.agg(F.coalesce(F.min("step") * STEP - MARGIN, F.lit(THRESHOLD)).alias("least"))
+
+
 def base_features(docs: DataFrame, text: str) -> DataFrame:
     """``docs``, having ``words``, ``g1`` and ``g2``, with the columns of the plain rules."""
     t = f"coalesce(`{text}`, '')"
@@ -141,7 +159,8 @@ def judge(
     The weights are broadcast: there are at most ``BUCKETS`` of them.
     """
     trusted = trusted_ids(labels, doc_id, label)
-    weights = log_ratios(docs, trusted, doc_id, text)
+    aside = id_remainder(doc_id, HELD_OUT) == 0
+    weights = log_ratios(docs, trusted.where(~aside), doc_id, text)
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text")
@@ -156,6 +175,9 @@ def judge(
         )
     )
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return scored.select(
-        "doc_id", *base, failed.alias("base_failed"), "score", (~failed & (F.col("score") >= THRESHOLD)).alias("kept")
+    scored = stored(scored.select("doc_id", *base, failed.alias("base_failed"), "score"), "quality-scores")
+    ids = trusted.where(aside).select(F.col(doc_id).alias("doc_id")).hint("merge")
+    least = threshold(scored.where(~F.col("base_failed")).join(ids, "doc_id", "left_semi"))
+    return scored.crossJoin(F.broadcast(least)).select(
+        "doc_id", *base, "base_failed", (~F.col("base_failed") & (F.col("score") >= F.col("least"))).alias("kept"), "score"
     )
