@@ -12,8 +12,9 @@ Everything is DataFrame and SQL functions.
 
 Defined cases: a null or empty text has no windows. An item shorter than a window is
 matched as a whole, by windows of its own length. A window of fewer than three ordinary
-words (for short items: none) is no evidence; an item without evidence is never
-matched. Items with equal text are reported under the smallest item id. Repeated
+words (for short items: none) is no evidence. Items without other windows, such as rows of
+numbers or names, are matched by the plain values of their windows instead, if they have at least
+six words and numbers; shorter ones are never matched. Items with equal text are reported under the smallest item id. Repeated
 documents are judged alike, also under one id; extra columns play no part.
 """
 
@@ -28,6 +29,7 @@ from telestrata.llm.common import fresh, stored
 
 WINDOW = 8
 LEAST_WORDS = 3  # ordinary words in a window that counts
+LEAST_PLAIN = 6  # words and numbers of an item that is matched by plain values
 LEAST_COVER = 0.5
 BROADCAST_WINDOWS = 1_000_000  # beyond it the windows are joined by a shuffle
 
@@ -39,7 +41,8 @@ UNITS = (
 ).split()
 
 # A word or number, with what comes before it if a sentence ends there.
-TOKEN = r"(?:[.!?\n][^\p{L}\p{M}0-9]*)?(?:[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*)"
+# Possessive, as Java's other quantifiers recurse over groups and end on a long row of numbers.
+TOKEN = r"(?:[.!?\n][^\p{L}\p{M}0-9]*+)?+(?:[\p{L}\p{M}]++|[0-9]++(?:[.,][0-9]++)*+)"
 _UNITS = ", ".join(f"'{u}'" for u in UNITS)
 
 
@@ -68,16 +71,23 @@ PLAIN = r"""case
   end"""
 
 
-def form_hashes(texts: DataFrame, text: Column) -> DataFrame:
-    """``texts`` with ``h``, the hashes of the canonical forms of ``text``."""
+def form_hashes(texts: DataFrame, text: Column, plain: bool = False) -> DataFrame:
+    """``texts`` with ``h``, the hashes of the canonical forms of ``text``, or of its ``plain`` values."""
     forms = f"zip_with(tokens, {BEFORE}, (k, p) -> xxhash64(coalesce({KIND}, {PLAIN})))"
+    if plain:
+        forms = f"transform(tokens, k -> xxhash64('plain', {PLAIN}))"
     return texts.withColumn("tokens", tokens(text)).withColumn("h", F.expr(forms))
 
 
-def templated(texts: DataFrame, text: Column) -> DataFrame:
-    """``texts`` with ``h`` and ``slots``, the kind and value of each slot (null for words)."""
+def templated(texts: DataFrame, text: Column, plain: bool = False) -> DataFrame:
+    """``texts`` with ``h`` and ``slots``, the kind and value of each slot (null for words).
+
+    Plain values have no slots.
+    """
     slots = f"zip_with(tokens, {BEFORE}, (k, p) -> concat({KIND}, {PLAIN}))"
-    return form_hashes(texts, text).withColumn("slots", F.expr(slots)).drop("tokens")
+    if plain:
+        slots = "transform(tokens, k -> cast(null as string))"
+    return form_hashes(texts, text, plain).withColumn("slots", F.expr(slots)).drop("tokens")
 
 
 def with_window_hashes(cells: DataFrame, width: int) -> DataFrame:
@@ -118,24 +128,31 @@ def windows(cells: DataFrame, width: int) -> DataFrame:
 
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """``(item, width, total, item_pos, w, item_slots)`` of the benchmark, one row per window."""
+    """``(item, width, plain, total, item_pos, w, item_slots)`` of the benchmark, a row per window."""
     whole = items.select(F.col(item_id).alias("item"), F.col(text).alias("text"))
     single = whole.where("text is not null").groupBy("text").agg(F.min("item").alias("item"))
-    cells = templated(single, F.col("text")).drop("text")
-    parts = []
-    for width in range(1, WINDOW + 1):
-        fits = F.size("h") >= width if width == WINDOW else F.size("h") == width
-        parts.append(windows(cells.where(fits), width).withColumn("width", F.lit(width)))
-    split = reduce(DataFrame.union, parts).where("pos is not null")
-    known = split.where(
+    known = _split(templated(single, F.col("text")).drop("text"), 1).where(
         F.col("width") - F.size("s") >= F.when(F.col("width") < WINDOW, 1).otherwise(LEAST_WORDS)
     )
+    known = stored(known.withColumn("plain", F.lit(False)), "item-windows")
+    bare = single.join(known.select("item").distinct(), "item", "left_anti")
+    bare = _split(templated(bare, F.col("text"), plain=True).drop("text"), LEAST_PLAIN)
+    known = known.unionByName(bare.withColumn("plain", F.lit(True)))
     totals = known.groupBy("item").agg(F.count(F.lit(1)).alias("total"))
     return known.join(totals, "item").select(
-        "item", "width", "total", F.col("pos").alias("item_pos"), "w", F.col("s").alias("item_slots")
+        "item", "width", "plain", "total", F.col("pos").alias("item_pos"), "w", F.col("s").alias("item_slots")
     )
 
 
+def _split(cells: DataFrame, least: int) -> DataFrame:
+    """The windows of items, of their own length for short ones of at least ``least`` forms."""
+    parts = []
+    for width in range(least, WINDOW + 1):
+        fits = F.size("h") >= width if width == WINDOW else F.size("h") == width
+        parts.append(windows(cells.where(fits), width).withColumn("width", F.lit(width)))
+    return reduce(DataFrame.union, parts).where("pos is not null")
+
+
 def matches(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text",
@@ -146,29 +163,32 @@ def matches(
     """
     bench = stored(item_windows(items, item_id, item_text), "template-windows")
     small = bench.count() <= BROADCAST_WINDOWS
-    widths = sorted(r["width"] for r in bench.select("width").distinct().collect())  # at most WINDOW
+    # At most WINDOW widths of either kind.
+    kinds = sorted(map(tuple, bench.select("width", "plain").distinct().collect()))
     base = docs.select(
         F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("print"), F.col(text).alias("text")
     ).where("text is not null")
     keys = F.broadcast(bench) if small else bench
-    if not widths:
+    if not kinds:
         return docs.sparkSession.createDataFrame(
             [], base.select("id", "print").schema
             .add("item", items.schema[item_id].dataType).add("covered", "long").add("total", "long")
         )
     # First only hashes pass by; slots are read in documents that share a window.
     near = []
-    hashed = form_hashes(base, F.col("text")).select("id", "print", "h")
-    for width in widths:
+    for width, plain in kinds:
+        hashed = form_hashes(base, F.col("text"), plain).select("id", "print", "h")
         every = with_window_hashes(hashed, width).select("id", "print", F.explode_outer("ws").alias("w"))
-        known = keys.where(F.col("width") == width).select("w")
+        known = keys.where((F.col("width") == width) & (F.col("plain") == plain)).select("w")
         near.append(every.join(known, "w", "left_semi").select("id", "print"))
     near = stored(reduce(DataFrame.union, near).distinct().toDF("near_id", "near_print"), "near-items")
     shared = base["id"].eqNullSafe(near["near_id"]) & (base["print"] == near["near_print"])
-    cells = templated(base.join(near, shared, "left_semi"), F.col("text")).drop("text")
+    suspects = base.join(near, shared, "left_semi")
     parts = []
-    for width in widths:
-        met = windows(cells, width).where("pos is not null").join(keys.where(F.col("width") == width), "w")
+    for width, plain in kinds:
+        cells = templated(suspects, F.col("text"), plain).drop("text")
+        known = keys.where((F.col("width") == width) & (F.col("plain") == plain))
+        met = windows(cells, width).where("pos is not null").join(known, "w")
         parts.append(met.select(
             "id", "print", "item", "total", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"),
             F.arrays_zip(F.col("item_slots").alias("mine"), F.col("s").alias("theirs")).alias("pairs"),

@@ -250,3 +250,40 @@ def test_collocations_of_odd_tables(spark):
     assert list(map(tuple, collocations.collocations(docs).collect())) == [("en", 1, "big deal", 12, 12, 12, 24, 1_000_000)]
     huge = spark.createDataFrame([("en", 2, "p q", 10**13), ("en", 1, "p", 10**13), ("en", 1, "q", 2 * 10**13)], "lang string, size int, phrase string, n long")
     assert collocations.scored(huge).first().score == 500_000
+
+
+# Cases of earlier operators
+
+
+def test_decontamination_of_long_rows_of_numbers(spark):
+    from telestrata.llm import decontam
+
+    items = spark.createDataFrame(
+        [(1, "Compute 3 + 4 * 5 - 6 / 7 + 8 * 9 = ?"), (2, "Anna Berta Carla Dora Emma Fanny Gerda Hanna"), (3, "7"),
+         (4, "what is the weight of a 12 kg stone on the moon")],
+        "item_id long, text string",
+    )
+    docs = spark.createDataFrame(
+        [(1, "1," * 8000 + "1"), (2, "And 1 2 3. Compute 3 + 4 * 5 - 6 / 7 + 8 * 9 = ? Well."), (3, "Compute 4 + 4 * 5 - 6 / 7 + 8 * 9"),
+         (4, "x anna berta carla dora emma fanny gerda hanna y"), (5, "a 7 b"), (6, "So what is the weight of a 35 kg stone on the moon now")],
+        "doc_id long, text string",
+    )
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs, items).collect()}
+    assert got == {(2, 1), (4, 2), (6, 4)}
+
+
+def test_quality_threshold_comes_from_held_out_documents(spark):
+    from telestrata.llm import quality
+
+    scores = spark.createDataFrame([(i / 100,) for i in range(200)], "score double")
+    assert quality.threshold(scores).first().least == pytest.approx(0.01 - quality.MARGIN, abs=quality.STEP)
+    assert quality.threshold(scores.limit(0)).first().least == quality.THRESHOLD
+
+
+def test_accounts_in_groups():
+    from telestrata.llm.pii import find_spans
+
+    spans = lambda t: [(k, t[a:b]) for k, a, b in find_spans(t)]
+    assert spans("IBAN: DE89 3704 0044 0532 0130 00.") == [("account", "DE89 3704 0044 0532 0130 00")]
+    assert spans("account number 12345 678, then") == [("account", "12345 678")]
+    assert spans("account noted by 3 people") == []
