@@ -77,9 +77,10 @@ def signatures(counts: DataFrame) -> DataFrame:
         rows = rows.withColumn(f"p{p}", F.expr(f"xxhash64(filter(e, x -> {part} = {p}))"))
     halves = []
     for shorter in ("length(word)", "(length(word) - 1)"):
-        halves.append(f"xxhash64({shorter}, 0, left(word, {shorter} div 2))")
-        halves.append(f"xxhash64({shorter}, 1, right(word, {shorter} - {shorter} div 2))")
-    rows = rows.withColumn("half", F.explode(F.expr(f"array({', '.join(halves)})")))
+        halves.append(f"xxhash64(0, left(word, {shorter} div 2))")
+        halves.append(f"xxhash64(1, right(word, {shorter} - {shorter} div 2))")
+    # One of the four always repeats another.
+    rows = rows.withColumn("half", F.explode(F.expr(f"array_distinct(array({', '.join(halves)}))")))
     kept = list(combinations(range(PARTS), PARTS - DIFFERENT))
     chosen = [f"xxhash64(half, {i}, {', '.join(f'p{p}' for p in each)})" for i, each in enumerate(kept)]
     return rows.select(F.explode(F.expr(f"array({', '.join(chosen)})")).alias("signature"), "word", "n", "sketch")
