@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telestrata.llm.common import mixed, ship, stored
+from telestrata.llm.common import mixed, ship, slices, stored
 
 SUPPORT = 10
 SHARDS = 3
@@ -45,8 +45,8 @@ TOP = 2000
 DROPPED_AT = (50, 100)  # share of a phrase inside a longer one, as a fraction
 NO_LANGUAGE = "und"
 
-CHUNK = 3 << 20  # bytes of text that a task looks at together
-HELD = 3_000_000  # counts that a task holds before it passes them on
+CHUNK = 2 << 20  # bytes of text that a task looks at together
+HELD = 1_500_000  # counts that a task holds before it passes them on
 BUCKET_BYTES = 16 << 20  # text for each hash range of the first pass
 MOST_BITS = 30  # of the bit table, as a power of two
 BITS_PER_CANDIDATE = 16
@@ -88,6 +88,13 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def chunks_of(texts: pa.Array, langs: np.ndarray, size: int = CHUNK) -> Iterator[Words]:
     """The words of all texts, about ``size`` bytes of text at a time."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    for a, b in slices(sizes, size):
+        yield from _chunks(texts.slice(a, b - a), langs[a:b], size)
+
+
+def _chunks(texts: pa.Array, langs: np.ndarray, size: int) -> Iterator[Words]:
+    """The words of one long text or of several short ones."""
     data, at = _bytes_of(texts)
     if not len(data):
         return
@@ -170,7 +177,7 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, n = keys[order], n[order]
     at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
-    return keys[at], np.add.reduceat(n, at) if len(at) else n
+    return keys[at], np.add.reduceat(n, at, dtype=np.int64)
 
 
 def least_local(support: int) -> int:
@@ -226,7 +233,7 @@ def local_counts(docs: DataFrame, power: int, support: int) -> DataFrame:
 def _merged(held: list, enough: int) -> tuple[np.ndarray, np.ndarray]:
     if not held:
         return np.empty(0, np.uint64), np.empty(0, np.uint8)
-    keys, n = summed(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]).astype(np.int64))
+    keys, n = summed(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
     return keys, np.minimum(n, enough).astype(np.uint8)
 
 
@@ -239,7 +246,7 @@ def locally_frequent(counts: DataFrame, support: int) -> DataFrame:
     enough = least_local(support)
 
     def keep(group: pa.Table) -> pa.Table:
-        keys, n = summed(_numbers(group["keys"], np.uint64), _numbers(group["n"], np.uint8).astype(np.int64))
+        keys, n = summed(_numbers(group["keys"], np.uint64), _numbers(group["n"], np.uint8))
         keys = keys[n >= enough]
         return pa.table(
             {
@@ -300,10 +307,10 @@ def exact_counts(docs: DataFrame, table: np.ndarray, support: int) -> DataFrame:
                     likely = _known(shared.value, hashed(words, salts, length, first))
                     held.append(_named(words, names, length, first[likely], n[likely]))
                     number += len(held[-1])
-            if number >= HELD // 6:
+            if number >= HELD // 3:
                 held = [_added(held)]
                 number = len(held[0])
-                if number >= HELD // 12:
+                if number >= HELD // 6:
                     yield from held[0].to_batches()
                     held, number = [], 0
         if held:
