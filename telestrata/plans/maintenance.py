@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from telestrata.operators.windows import GOLD_TABLES
 from telestrata.settings import Settings
-from telestrata.sources import snapshots
+from telestrata.sources import batches, snapshots
 from telestrata.sources.layers import read_layer
 
 RESULT_SCHEMA = "layer string, action string, status string, files_changed bigint"
@@ -23,6 +24,32 @@ def snapshot_streamed_layer(spark: SparkSession, streamed_path: str, table_path:
     return snapshots.commit(read_layer(spark, streamed_path), table_path, operation="SNAPSHOT")
 
 
+def maintain_batches(
+    spark: SparkSession,
+    layers: Mapping[str, str],
+    config: Settings | Mapping | None = None,
+    target_bytes: int = batches.TARGET_BYTES,
+    now: datetime | None = None,
+) -> DataFrame:
+    """Compact and expire the batch layers that streams write, in place.
+
+    ``layers`` names their folders as ``Bronze`` and ``Silver``. One row per layer and action;
+    unexpected errors are raised.
+    """
+    settings = Settings.of(config)
+    hours = {"Bronze": settings.bronze_retention_hours, "Silver": settings.silver_retention_hours}
+    results = []
+    for label, path in layers.items():
+        if settings.optimize_enabled:
+            done = batches.compact_batches(spark, path, target_bytes)
+            results.append((label, "compact", "compacted" if done else "nothing to do", len(done)))
+        if settings.vacuum_enabled:
+            removed = batches.expire_batches(spark, path, hours[label], now)
+            status = "kept forever" if hours[label] <= 0 else "expired"
+            results.append((label, "expire", status, len(removed)))
+    return spark.createDataFrame(results, RESULT_SCHEMA)
+
+
 def run_maintenance(
     spark: SparkSession,
     bronze_path: str,

@@ -13,7 +13,8 @@ from telestrata.plans.silver import apply_transformations
 from telestrata.schema import BRONZE_SCHEMA
 from telestrata.settings import Settings
 from telestrata.sources.landing import add_ingestion_metadata, read_raw_stream
-from telestrata.streaming.sinks import append_stream
+from telestrata.sources.batches import read_batch_stream
+from telestrata.streaming.sinks import append_stream, batch_stream
 
 Config = Settings | Mapping | None
 
@@ -34,11 +35,16 @@ def start_bronze(
     checkpoint: str,
     config: Config = None,
     drain: bool = False,
+    by_batch: bool = False,
 ) -> StreamingQuery:
-    """Keep everything that arrives, corrupt or late, with ingestion columns."""
+    """Keep everything that arrives, corrupt or late, with ingestion columns.
+
+    ``by_batch`` writes a batch layer, which can be maintained in place.
+    """
     settings = Settings.of(config)
     raw = add_ingestion_metadata(read_raw_stream(spark, landing, settings))
-    return append_stream(raw, bronze, checkpoint, settings, "bronze", drain)
+    sink = batch_stream if by_batch else append_stream
+    return sink(raw, bronze, checkpoint, settings, "bronze", drain)
 
 
 def start_silver(
@@ -50,12 +56,20 @@ def start_silver(
     drain: bool = False,
     by_date: bool = True,
     salts: int = 0,
+    by_batch: bool = False,
 ) -> StreamingQuery:
-    """Clean and deduplicate within the watermark; later rows are discarded."""
+    """Clean and deduplicate within the watermark; later rows are discarded.
+
+    ``by_batch`` reads and writes batch layers, which can be maintained in place.
+    """
     settings = Settings.of(config)
-    source = read_table_stream(spark, bronze, BRONZE_SCHEMA, settings)
+    if by_batch:
+        source = read_batch_stream(spark, bronze, BRONZE_SCHEMA, settings.max_files_per_trigger)
+    else:
+        source = read_table_stream(spark, bronze, BRONZE_SCHEMA, settings)
     cleaned = apply_transformations(source, settings, salts=salts)
-    return append_stream(cleaned, silver, checkpoint, settings, "silver", drain, by_date)
+    sink = batch_stream if by_batch else append_stream
+    return sink(cleaned, silver, checkpoint, settings, "silver", drain, by_date)
 
 
 def start_gold(

@@ -1,4 +1,4 @@
-"""Checkpointed append sinks."""
+"""Checkpointed sinks: appended files, and whole batches."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from telestrata.settings import Settings
+from telestrata.sources.batches import write_batch
 from telestrata.sources.layers import DATE_COLUMN
 from telestrata.streaming.metrics import StreamTotals
 
@@ -43,6 +44,28 @@ def append_stream(
     return writer.start()
 
 
+def batch_stream(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    settings: Settings,
+    name: str,
+    drain: bool = False,
+    by_date: bool = False,
+) -> StreamingQuery:
+    """Write each micro-batch as one folder of a batch layer.
+
+    A batch that runs again after a failure replaces what it wrote, so every row is there once.
+    Files hold whole dates, not one part of each date per task.
+    """
+    trigger = {"availableNow": True} if drain else {"processingTime": settings.trigger_interval}
+    if by_date:
+        df = df.withColumn(DATE_COLUMN, F.to_date("timestamp"))
+    writer = df.writeStream.queryName(name).outputMode(settings.output_mode)
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger)
+    return writer.foreachBatch(lambda rows, batch_id: write_batch(rows, path, batch_id)).start()
+
+
 def drained(query: StreamingQuery, timeout_seconds: float | None = None) -> StreamTotals:
     """Wait for a draining query and return the totals of all its batches.
 
