@@ -81,6 +81,17 @@ def latency_histogram(latency: DataFrame, width: float = 5.0) -> DataFrame:
     return histogram(latency, "_latency_sec", width)
 
 
+def histogram_2d(
+    df: DataFrame, first: tuple[str, float], second: tuple[str, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Counts over the buckets of two columns, each given with its width; nulls are left out."""
+    buckets = [
+        (F.floor(F.col(c) / F.lit(width)) * F.lit(width)).alias(f"{c}_from") for c, width in (first, second)
+    ]
+    known = df.where(F.col(first[0]).isNotNull() & F.col(second[0]).isNotNull())
+    return known.groupBy(*by, *buckets).agg(F.count(F.lit(1)).alias("n"))
+
+
 def feature_histogram(
     features: DataFrame, width: float = 0.5, columns: Sequence[str] = KEY_FEATURES
 ) -> DataFrame:
