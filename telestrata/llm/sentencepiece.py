@@ -1,8 +1,10 @@
 """SentencePiece encoding and decoding by shared-prefix Viterbi.
 
-Spark cuts the marked text into words (white space becomes a mark that begins its word). A
-task takes the distinct words of a batch, sorts them, and walks them like a trie, depth
-first: the forward row of a word is kept up to the prefix that it shares with the next one.
+Texts are cut into marked words (a space becomes a mark that begins its word). A task takes the
+distinct words of a stretch of texts, sorts them, and walks them like a trie, depth first: the
+forward row of a word is kept up to the prefix that it shares with the next one. What was found
+for words that come again is remembered, up to a bounded number of characters, and dropped when
+the task ends.
 
 The model files here are of the merging kind: a piece's score is its merge order, and the
 segmentation is the one that merges lead to. It still is a path problem. A segmentation is
@@ -28,15 +30,17 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telestrata.llm.common import fresh, ship, slices
 
 MARK = "▁"
 NORMAL, BYTE, UNIGRAM, MERGES = 1, 6, 1, 2  # fixed values of the model format
-MEMO = 300_000  # pairs of pieces that a worker remembers
-CHUNK = 600_000  # words or pieces that a task handles at once; bounds its memory
+MEMO = 150_000  # pairs of pieces that a task remembers
+MEMO_CHARACTERS = 2_000_000  # of the words that a task remembers
+CHUNK = 3 << 20  # bytes of text that a task handles at once; bounds its memory
+CHUNK_PIECES = 600_000  # or pieces
 
 
 class Model:
@@ -55,10 +59,40 @@ class Model:
         self.bytes_of = {i: b for b, i in self.byte_ids.items()}
         self.unknown = next((i for i, p in enumerate(proto.pieces) if p.type == 2), 0)
         self.longest = max(map(len, self.ids), default=1)
+        # The lengths of pieces that end in each two characters, the longest first.
+        lengths: dict[str, set[int]] = {}
+        for piece in self.ids:
+            if len(piece) > 1:
+                lengths.setdefault(piece[-2:], set()).add(len(piece))
+        self.lengths = {end: sorted(found, reverse=True) for end, found in lengths.items()}
         self.fits: dict[tuple[str, str], bool] = {}
+        self.known: dict[str, list[int]] = {}
+        self.known_characters = 0
+        out = [bytes([self.bytes_of[i]]) if i in self.bytes_of else p.encode() for i, p in enumerate(self.pieces)]
+        self.octets = pa.array([b.replace(MARK.encode(), b" ") for b in out], pa.binary())
+
+    def forget(self) -> None:
+        """Drop what was remembered, so that a reused worker doesn't keep it."""
+        self.fits.clear()
+        self.known.clear()
+        self.known_characters = 0
 
     # Segmentation
 
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Identifiers of each of the words, which are distinct."""
+        known = self.known
+        new = sorted(w for w in words if w not in known)
+        found = dict(zip(new, self.encode_sorted(new)))
+        out = [known[w] if w in known else found[w] for w in words]
+        # The words that come first are the frequent ones, so they stay.
+        for word in new:
+            if self.known_characters > MEMO_CHARACTERS:
+                break
+            known[word] = found[word]
+            self.known_characters += len(word)
+        return out
+
     def encode_sorted(self, words: list[str]) -> list[list[int]]:
         """Identifiers of each of the words, which are distinct and sorted."""
         out, before = [], ""
@@ -72,34 +106,44 @@ class Model:
                     break
                 shared += 1
             del begins[shared + 1 :], scores[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                self._extend(word, end, begins, scores)
+            self._extend(word, shared + 1, begins, scores)
             out.append(self._backtrack(word, begins))
             before = word
         return out
 
-    def _extend(self, word: str, end: int, begins: list[int], scores: list[float]) -> None:
-        """Add the forward entry of the prefix of length ``end``."""
-        ids = self.ids
+    def _extend(self, word: str, first: int, begins: list[int], scores: list[float]) -> None:
+        """Add the forward entries of the prefixes from length ``first`` on."""
+        ids, lengths, fits = self.ids, self.lengths, self.fits
         if self.kind == UNIGRAM:
-            best, start = -np.inf, end - 1
-            for at in range(max(0, end - self.longest), end):
-                found = ids.get(word[at:end])
-                score = scores[at] + (self.scores[found] if found is not None else -1e4)
-                if (found is not None or at == end - 1) and score > best:
-                    best, start = score, at
-            begins.append(start)
-            scores.append(best)
+            for end in range(first, len(word) + 1):
+                best, start = -np.inf, end - 1
+                for at in range(max(0, end - self.longest), end):
+                    found = ids.get(word[at:end])
+                    score = scores[at] + (self.scores[found] if found is not None else -1e4)
+                    if (found is not None or at == end - 1) and score > best:
+                        best, start = score, at
+                begins.append(start)
+                scores.append(best)
             return
-        # At most one start fits; the single character fits if no longer piece does.
-        for at in range(max(0, end - self.longest), end - 1):
-            piece = word[at:end]
-            if piece in ids and (at == 0 or self._fit(word[begins[at] : at], piece)):
-                begins.append(at)
-                scores.append(0.0)
-                return
-        begins.append(end - 1)
-        scores.append(0.0)
+        for end in range(first, len(word) + 1):
+            # At most one start fits; the single character fits if no longer piece does.
+            start = end - 1
+            for length in lengths.get(word[end - 2 : end], ()) if end > 1 else ():
+                at = end - length
+                if at < 0:
+                    continue
+                piece = word[at:end]
+                if piece in ids:
+                    if at == 0:
+                        start = at
+                        break
+                    left = word[begins[at] : at]
+                    fit = fits.get((left, piece))
+                    if self._fit(left, piece) if fit is None else fit:
+                        start = at
+                        break
+            begins.append(start)
+        scores.extend([0.0] * (len(begins) - len(scores)))
 
     def _fit(self, left: str, right: str) -> bool:
         """Whether merging ``left + right`` gives just these two pieces."""
@@ -107,7 +151,8 @@ class Model:
         known = self.fits.get(key)
         if known is None:
             if len(self.fits) >= MEMO:
-                self.fits.clear()
+                for old in list(self.fits)[: MEMO // 2]:
+                    del self.fits[old]
             known = self.fits[key] = self.merged(left + right) == [left, right]
         return known
 
@@ -139,20 +184,19 @@ class Model:
         return [p for p in part if p]
 
     def _backtrack(self, word: str, begins: list[int]) -> list[int]:
-        parts, end = [], len(word)
+        out, end, ids = [], len(word), self.ids
         while end > 0:
             start = begins[end]
-            parts.append(word[start:end])
-            end = start
-        out = []
-        for piece in reversed(parts):
-            found = self.ids.get(piece)
+            piece = word[start:end]
+            found = ids.get(piece)
             if found is not None:
                 out.append(found)
             elif self.byte_ids:
-                out += [self.byte_ids[b] for b in piece.encode()]
+                out += [self.byte_ids[b] for b in reversed(piece.encode())]
             else:
                 out.append(self.unknown)
+            end = start
+        out.reverse()
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -167,59 +211,90 @@ class Model:
         return text[1:] if text[:1] == " " else text
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def model_of(data: bytes) -> Model:
     return Model(data)
 
 
-def marked_words(text: Column) -> Column:
-    """The words of a text, each with the marks before it; a text gets one mark in front."""
-    marked = F.concat(F.lit(MARK), F.translate(F.coalesce(text, F.lit("")), " ", MARK))
-    words = F.regexp_extract_all(marked, F.lit(f"(?s){MARK}*[^{MARK}]+|{MARK}+"), F.lit(0))
-    return F.when(F.coalesce(F.length(text), F.lit(0)) > 0, words).otherwise(F.array().cast("array<string>"))
+def marked(texts: pa.Array) -> pa.Array:
+    """Texts with marks for spaces and one in front; null and empty ones are empty."""
+    texts = pc.fill_null(texts, "")
+    spaced = pc.replace_substring(texts, " ", MARK)
+    front = pc.if_else(pc.equal(texts, ""), "", MARK)
+    return pc.binary_join_element_wise(front, spaced, "")
+
+
+def marked_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all marked texts, each with the marks before it, and how many each text has."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    octets = np.frombuffer(data or b"", np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    # The three bytes of a mark; inside another character they can't begin so.
+    first, second, third = MARK.encode()
+    mark = np.zeros(len(octets) + 2, bool)
+    mark[:-4] = (octets[:-2] == first) & (octets[1:-1] == second) & (octets[2:] == third) if len(octets) > 2 else False
+    starts = mark[:-2].copy()
+    after = mark[:-2]  # a mark right before ends three bytes later
+    starts[3:] &= ~after[:-3]
+    begins = np.zeros(len(octets) + 1, bool)
+    begins[at] = True
+    starts |= begins[:-1]
+    places = np.flatnonzero(starts)
+    ends = np.concatenate([places, [len(octets)]]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(places), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(octets)))
+    return words, np.diff(np.searchsorted(places, at))
+
+
+def _stretches(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts of a batch, a bounded number of bytes at a time."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for a, b in slices(sizes, CHUNK):
+        yield texts.slice(a, b - a)
+
+
+def _encoded(model: Model, texts: pa.Array) -> pa.ListArray:
+    """Identifiers of each text; every distinct word is segmented once."""
+    words, per_text = marked_words(marked(texts))
+    coded = words.dictionary_encode()
+    found = model.encode_words(coded.dictionary.to_pylist())
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    flat = np.fromiter(chain.from_iterable(found), np.int32)
+    starts = np.cumsum(sizes) - sizes
+    which = coded.indices.to_numpy()
+    each = sizes[which]
+    total = np.concatenate([[0], np.cumsum(each)]).astype(np.int64)
+    # The place of every output: the start of its word plus its place in the word.
+    place = np.repeat(starts[which] - total[:-1], each) + np.arange(total[-1], dtype=np.int64)
+    ends = total[np.concatenate([[0], np.cumsum(per_text)])]
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat[place], pa.int32()))
+
+
+def _decoded(model: Model, lists: pa.ListArray) -> pa.Array:
+    """The bytes of each list of identifiers, without the space of the first mark."""
+    first, last = lists.offsets[0].as_py(), lists.offsets[-1].as_py()
+    octets = model.octets.take(lists.values.slice(first, last - first))
+    offsets = pc.subtract(lists.offsets, lists.offsets[0])
+    joined = pc.binary_join(pa.ListArray.from_arrays(offsets, octets), b"")
+    return pc.if_else(pc.starts_with(joined, " "), pc.binary_replace_slice(joined, 0, 1, b""), joined)
 
 
 def encoder(shared):
-    """A function on columns of marked words: the identifiers of each text."""
+    """A function on texts: the identifiers of each."""
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = model_of(shared.value)
-        for lists in batches:
-            parts = [_encoded(model, lists[a:b]) for a, b in slices(_sizes(lists), CHUNK)]
-            yield pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *parts])
+        try:
+            for texts in batches:
+                parts = [_encoded(model, part) for part in _stretches(texts)]
+                yield pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *parts])
+        finally:
+            model.forget()
 
     return encode
 
 
-def _sizes(lists: pa.Array) -> np.ndarray:
-    return np.diff(lists.offsets.to_numpy())
-
-
-def _encoded(model: Model, lists: pa.Array) -> pa.Array:
-    """Identifiers of each list of words; every distinct word is segmented once."""
-    coded = pc.dictionary_encode(lists.flatten())
-    words = coded.dictionary.to_pylist()
-    order = sorted(range(len(words)), key=words.__getitem__)
-    found = model.encode_sorted([words[i] for i in order])
-    sizes = np.zeros(len(words), np.int64)
-    sizes[order] = [len(x) for x in found]
-    flat = np.fromiter(chain.from_iterable(found), np.int32)
-    # Where the pieces of each word begin in ``flat``, which is in the order of the trie.
-    starts = np.zeros(len(words), np.int64)
-    ordered = sizes[order]
-    starts[order] = np.cumsum(ordered) - ordered
-    which = coded.indices.to_numpy()
-    each = sizes[which]
-    total = np.concatenate([[0], np.cumsum(each)]).astype(np.int64)
-    # The place of every output: the start of its word plus its place in the word.
-    place = np.repeat(starts[which] - total[:-1], each) + np.arange(total[-1], dtype=np.int64)
-    ends = lists.offsets.to_numpy().astype(np.int64)
-    return pa.ListArray.from_arrays(
-        pa.array(total[ends - ends[0]].astype(np.int32)), pa.array(flat[place], pa.int32())
-    )
-
-
 def decoder(shared):
     """A function on columns of identifiers: the text of each row."""
 
@@ -228,13 +303,39 @@ def decoder(shared):
         model = model_of(shared.value)
         for lists in batches:
             out: list[str | None] = []
-            for a, b in slices(_sizes(lists), CHUNK):
-                out += [None if ids is None else model.decode(ids) for ids in lists[a:b].to_pylist()]
+            for a, b in slices(np.diff(lists.offsets.to_numpy()), CHUNK_PIECES):
+                part = lists.slice(a, b - a)
+                texts = _decoded(model, part).to_pylist()
+                gone = part.is_null().to_pylist()
+                out += [None if n else t.decode("utf-8", "replace") for t, n in zip(texts, gone)]
             yield pa.array(out, pa.string())
 
     return decode
 
 
+CODED = "struct<pieces:array<int>,round_trip:boolean>"
+
+
+def coder(shared):
+    """A function on texts: their identifiers, and whether decoding them gives the text back."""
+
+    @F.arrow_udf(CODED)
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = model_of(shared.value)
+        try:
+            for texts in batches:
+                lists, same = [pa.array([], pa.list_(pa.int32()))], [pa.array([], pa.bool_())]
+                for part in _stretches(texts):
+                    lists.append(_encoded(model, part))
+                    plain = pc.replace_substring(pc.fill_null(part, ""), MARK, " ")
+                    same.append(pc.equal(_decoded(model, lists[-1]), plain.cast(pa.binary())))
+                yield pa.StructArray.from_arrays([pa.concat_arrays(lists), pa.concat_arrays(same)], ["pieces", "round_trip"])
+        finally:
+            model.forget()
+
+    return code
+
+
 def _shared(docs: DataFrame, model: str):
     """The model file, broadcast; its size is fixed."""
     with open(model, "rb") as file:
@@ -243,7 +344,7 @@ def _shared(docs: DataFrame, model: str):
 
 def with_pieces(docs: DataFrame, model: str, text: str = "text", out: str = "pieces") -> DataFrame:
     """``docs`` with the identifiers of ``text`` under the file ``model``."""
-    return docs.withColumn(out, encoder(_shared(docs, model))(marked_words(F.col(text))))
+    return docs.withColumn(out, encoder(_shared(docs, model))(F.col(text)))
 
 
 def with_text(docs: DataFrame, model: str, pieces: str = "pieces", out: str = "decoded") -> DataFrame:
@@ -256,11 +357,11 @@ def encoded(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
 
     Where ``docs`` has such a column, the new one's name gets an underscore.
     """
-    shared = _shared(docs, model)
-    pieces, number, back = (fresh(c, docs) for c in ("pieces", "n_pieces", "round_trip"))
-    same = F.translate(F.coalesce(F.col(text), F.lit("")), MARK, " ") == decoder(shared)(F.col(pieces))
-    return (
-        docs.withColumn(pieces, encoder(shared)(marked_words(F.col(text))))
-        .withColumn(number, F.size(pieces).cast("long"))
-        .withColumn(back, same)
+    pieces, number, back, both = (fresh(c, docs) for c in ("pieces", "n_pieces", "round_trip", "coded"))
+    coded = docs.withColumn(both, coder(_shared(docs, model))(F.col(text)))
+    return coded.select(
+        *docs.columns,
+        F.col(f"{both}.pieces").alias(pieces),
+        F.size(f"{both}.pieces").cast("long").alias(number),
+        F.col(f"{both}.round_trip").alias(back),
     )

@@ -287,3 +287,40 @@ def test_accounts_in_groups():
     assert spans("IBAN: DE89 3704 0044 0532 0130 00.") == [("account", "DE89 3704 0044 0532 0130 00")]
     assert spans("account number 12345 678, then") == [("account", "12345 678")]
     assert spans("account noted by 3 people") == []
+
+
+def test_coding_of_odd_texts_in_small_stretches(spark, monkeypatch):
+    import sentencepiece as library
+
+    from telestrata.llm import sentencepiece
+    from telestrata.llm.queries import vocabulary
+
+    path = vocabulary("piece_bpe_32k.model")
+    with open(path, "rb") as file:
+        model = sentencepiece.Model(file.read())
+    reference = library.SentencePieceProcessor(model_file=path)
+    rng = random.Random(9)
+    texts = ["", None, " ", "▁", "a▁ b", " \n\t x", "ab" * 4000, "日本語 🙂 é̂", "the the the the"]
+    texts += ["".join(rng.choice("abt hé▁\n日1") for _ in range(rng.randint(0, 80))) for _ in range(200)]
+    monkeypatch.setattr(sentencepiece, "CHUNK", 200)
+    monkeypatch.setattr(sentencepiece, "MEMO_CHARACTERS", 50)
+    monkeypatch.setattr(sentencepiece, "MEMO", 10)
+    parts = [sentencepiece._encoded(model, p) for p in sentencepiece._stretches(pa.array(texts))]
+    assert [ids for p in parts for ids in p.to_pylist()] == [reference.encode(t or "") for t in texts]
+    back = [t.decode() for p in parts for t in sentencepiece._decoded(model, p).to_pylist()]
+    assert back == [(t or "").replace("▁", " ") for t in texts]
+    model.forget()
+    assert not model.fits and not model.known
+
+
+def test_coding_columns(spark):
+    from telestrata.llm import sentencepiece
+    from telestrata.llm.queries import vocabulary
+
+    path = vocabulary("piece_bpe_32k.model")
+    docs = spark.createDataFrame([(1, "a b", 5, "x")] * 2 + [(None, None, None, None)], "doc_id long, text string, pieces int, coded string")
+    rows = sentencepiece.encoded(docs, path).collect()
+    assert rows[0].asDict().keys() == {"doc_id", "text", "pieces", "coded", "pieces_", "n_pieces", "round_trip"}
+    assert [(r.n_pieces, r.round_trip) for r in rows] == [(2, True)] * 2 + [(0, True)]
+    both = sentencepiece.with_text(sentencepiece.with_pieces(docs, path, out="ids"), path, "ids")
+    assert [r.decoded for r in both.collect()] == ["a b", "a b", ""]
