@@ -14,8 +14,9 @@ or one-bit sketches of the shingle sets already rule it out: the Jaccard similar
 must reach 0.8. Large buckets aren't multiplied out: see ``verified_roots``. Linked documents
 and equal texts form classes.
 
-A pair of similarity 0.8 shares a bucket with a probability of 0.9993; the sketches, whose bits
-differ independently, wrongly rule out one in 100,000 of such pairs.
+A pair of similarity 0.8 shares a bucket with a probability of 0.9993. The bits of the sketches
+differ independently; the limit on their differences, a parameter, lies eight deviations away, so
+fewer than one in 10 ** 14 such pairs would be ruled out (1,024 switches the sketches off).
 
 Defined cases: equal texts are one class, also empty ones. A null text is a class of its
 own. An id with several texts stands for all of them. Rows without id belong to the class
@@ -25,6 +26,7 @@ of their text. Repeated rows share a class, and extra columns play no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +41,10 @@ BANDS, ROWS = 24, 6
 SIGNATURE = BANDS * ROWS
 SIMILAR = (4, 5)  # least similarity, as a fraction
 SKETCH = 1024  # bits of a sketch of the shingle set
-MOST_UNLIKE = 145  # of them may differ: 4.4 deviations above those of a similarity of 0.8
+MOST_UNLIKE = 180  # of them may differ: 8 deviations above those of a similarity of 0.8
 CHUNK = 200_000  # shingles that a task handles at once
-CENTRES = 8  # centres of a bucket in the second round
+CENTRES = 8  # members of a bucket that the others are compared with after the smallest
+STEPS = ((0, 1), (1, 3), (3, 8), (8, BANDS))  # of 24 parts of the buckets
 
 
 # Shingles
@@ -207,11 +210,26 @@ def representatives(signatures: DataFrame) -> DataFrame:
     return signatures.groupBy("print", "bands").agg(F.min("id").alias("rep"))
 
 
-def postings(reps: DataFrame) -> DataFrame:
-    """``(bucket, rep)`` of every bucket with at least two members."""
-    all_ = reps.where("rep is not null").select(F.explode("bands").alias("bucket"), "rep")
-    shared = all_.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-    return all_.join(shared.where("lo <> hi").select("bucket"), "bucket", "left_semi")
+def _taken(low: int, high: int) -> Column:
+    """The buckets of a document that fall into some of the steps; hashes deal them evenly."""
+    return F.filter("bands", lambda b: F.pmod(b, F.lit(BANDS)).between(low, high - 1))
+
+
+def sharing(reps: DataFrame) -> DataFrame:
+    """``(rep)`` of the documents of ``reps(rep, bands)`` that share a bucket with another.
+
+    Goes by steps over the buckets and looks only at documents not found yet: a member of a large
+    group shows in one of its first buckets.
+    """
+    every = reps.select(F.explode("bands").alias("bucket"), "rep")
+    shared = every.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
+    shared = stored(shared.where("lo <> hi").select("bucket"), "shared-buckets")
+    left, found = reps, []
+    for low, high in STEPS:
+        here = left.select(F.explode(_taken(low, high)).alias("bucket"), "rep")
+        found.append(stored(here.join(shared, "bucket", "left_semi").select("rep").distinct(), "sharing"))
+        left = left.join(found[-1], "rep", "left_anti")
+    return reduce(DataFrame.union, found)
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -239,36 +257,41 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(named, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
 
-def verified_roots(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+def _chosen(posts: DataFrame, turn: str) -> DataFrame:
+    """The members of each bucket that all others of it are compared with."""
+    member = F.struct("rep", "root", "sketch", "size")
+    if turn == "smallest":
+        found = posts.groupBy("bucket").agg(F.min(member).alias("m"))
+    elif turn == "few":
+        group = F.pmod(F.xxhash64("bucket", "rep"), F.lit(CENTRES)).alias("g")
+        found = posts.groupBy("bucket", group).agg(F.min_by(member, F.xxhash64("rep")).alias("m"))
+    else:
+        parts = posts.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+        largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("most"))
+        found = posts.join(largest, "bucket").where("root <> most").select("bucket", member.alias("m"))
+    return found.select("bucket", *[F.col(f"m.{c}").alias(f"c_{c}") for c in ("rep", "root", "sketch", "size")])
+
+
+def verified_roots(members: DataFrame, sets: DataFrame) -> DataFrame:
     """``(node, root)`` of the components of all similar pairs in a bucket.
 
-    ``buckets`` is ``(bucket, rep, sketch, size)``. Members are compared with centres of their
-    bucket in three rounds: with the smallest member, with a few chosen by a hash, and with all
-    members outside the bucket's largest component. After each round components are formed anew,
-    and members of one component are never compared again. The last round covers every pair of
-    different components, so no pair is left out, but a group of near copies of any size takes
-    only a few comparisons for each member.
+    ``members`` is ``(rep, bands, sketch, size)``. Members are compared with chosen ones of their
+    buckets: with the smallest, in steps over the buckets, then with a few drawn by a hash, and at
+    last with all outside the bucket's largest component. After each turn components are formed
+    anew; buckets whose members are of one component are settled, and members of one component are
+    never compared again. So a group of near copies meets in few of its buckets, and the last
+    turn covers every pair of different components: no pair is left out.
     """
-    members, roots = buckets.withColumn("root", F.col("rep")), None
-    for turn in range(3):
-        if turn == 0:
-            chosen = members.groupBy("bucket").agg(F.min("rep").alias("rep"))
-        elif turn == 1:
-            group = F.pmod(F.xxhash64("bucket", "rep"), F.lit(CENTRES)).alias("g")
-            chosen = members.groupBy("bucket", group).agg(F.min_by("rep", F.xxhash64("rep")).alias("rep"))
-        else:
-            parts = members.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-            largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("most"))
-            chosen = members.join(largest, "bucket").where("root <> most")
-        chosen = chosen.select("bucket", "rep").join(members, ["bucket", "rep"])
-        chosen = chosen.select(
-            "bucket", *[F.col(c).alias(f"c_{c}") for c in ("rep", "root", "sketch", "size")]
-        )
+    members, roots = members.withColumn("root", F.col("rep")), None
+    for turn, low, high in [*(("smallest", *step) for step in STEPS), ("few", 0, BANDS), ("all", 0, BANDS)]:
+        posts = members.withColumn("bucket", F.explode(_taken(low, high))).drop("bands")
+        several = posts.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        posts = stored(posts.join(several.where("lo <> hi").select("bucket"), "bucket", "left_semi"), "unsettled")
         up, down = SIMILAR
         # Similar sets are at most one step of size apart.
         step = lambda size: F.floor(F.log(size) / F.log(F.lit(down / up))).cast("int")
         steps = F.array(*[step("c_size") + i for i in (-1, 0, 1)])
-        chosen = chosen.withColumn("c_step", F.explode(steps)).withColumnRenamed("bucket", "c_bucket")
+        chosen = _chosen(posts, turn).withColumn("c_step", F.explode(steps)).withColumnRenamed("bucket", "c_bucket")
         plausible = (
             (F.col("bucket") == F.col("c_bucket"))
             & (step("size") == F.col("c_step"))
@@ -277,18 +300,15 @@ def verified_roots(buckets: DataFrame, sets: DataFrame) -> DataFrame:
             & (F.col("c_size") * down >= F.col("size") * up)
             & (unlike("sketch", "c_sketch") <= MOST_UNLIKE)
         )
-        pairs = members.join(chosen, plausible).select(
+        pairs = posts.join(chosen, plausible).select(
             F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")
         )
-        links = verified(pairs.distinct(), sets)
+        links = verified(stored(pairs.distinct(), "pairs"), sets)
         if roots is not None:
             links = links.union(roots.selectExpr("node as a", "root as b"))
         roots = components(links)
-        if turn < 2:
-            members = rooted(members.drop("root"), roots)
-            several = members.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-            several = several.where("lo <> hi").select("bucket")
-            members = stored(members.join(several, "bucket", "left_semi"), "unsettled")
+        if turn != "all":
+            members = stored(rooted(members.drop("root"), roots), "members")
     return roots
 
 
@@ -301,15 +321,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 def _roots(docs: DataFrame, prints: DataFrame) -> DataFrame:
     """``(print, class_id)`` of each text that has an id."""
-    reps = representatives(prints)
-    buckets = stored(postings(reps), "buckets")
-    sets = stored(shingle_sets(docs, buckets.select("rep").distinct()), "shingle-sets")
-    buckets = buckets.join(sets.select("rep", "sketch", "size"), "rep")
+    reps = stored(representatives(prints), "representatives")
+    named = reps.where("rep is not null").select("rep", "bands")
+    sets = stored(shingle_sets(docs, sharing(named)), "shingle-sets")
+    members = named.join(sets.select("rep", "sketch", "size"), "rep")
     # An id with several texts joins the groups of equal texts that it is in.
     several = prints.groupBy("id").agg(F.min("print").alias("lo"), F.max("print").alias("hi"))
     several = several.where("id is not null and lo <> hi").select("id")
     own = prints.select("id", "print").join(several, "id", "left_semi").join(reps, "print")
-    found = verified_roots(buckets, sets).selectExpr("node as a", "root as b")
+    found = verified_roots(members, sets).selectExpr("node as a", "root as b")
     roots = components(found.union(own.selectExpr("id as a", "rep as b")))
     found = reps.where("rep is not null").join(roots, reps["rep"] == roots["node"], "left")
     return found.select("print", F.coalesce("root", "rep").alias("class_id"))

@@ -102,8 +102,8 @@ def test_chains_are_kept_by_later_rounds(spark):
     assert brute_classes(rows) == {0: 0, 1: 0, 2: 0, 3: 0}
     docs = frame(spark, rows).withColumnRenamed("doc_id", "id")
     sets = neardup.shingle_sets(docs, docs.selectExpr("id as rep"))
-    buckets = sets.select(F.lit(7).alias("bucket"), "rep", "sketch", "size")
-    roots = neardup.verified_roots(buckets, sets)
+    members = sets.select("rep", F.array(F.lit(7)).alias("bands"), "sketch", "size")
+    roots = neardup.verified_roots(members, sets)
     assert {(r["node"], r["root"]) for r in roots.collect()} == {(1, 0), (2, 0), (3, 0)}
 
 
