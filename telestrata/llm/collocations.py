@@ -46,7 +46,7 @@ DROPPED_AT = (50, 100)  # share of a phrase inside a longer one, as a fraction
 NO_LANGUAGE = "und"
 
 CHUNK = 2 << 20  # bytes of text that a task looks at together
-HELD = 1_500_000  # counts that a task holds before it passes them on
+HELD = 1_500_000  # counts that a task of the first pass holds before it passes them on
 BUCKET_BYTES = 16 << 20  # text for each hash range of the first pass
 MOST_BITS = 30  # of the bit table, as a power of two
 BITS_PER_CANDIDATE = 16
@@ -298,32 +298,23 @@ def exact_counts(docs: DataFrame, table: np.ndarray, support: int) -> DataFrame:
     shared = ship(docs.sparkSession).sparkContext.broadcast(table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, number = [], 0
         for batch in batches:
             names, lang, salts = _languages(batch.column(0))
             for words in chunks_of(batch.column(1).fill_null(""), lang):
-                held.append(_all_words(words, names))
+                yield _all_words(words, names)
                 for length, first, n in phrases(words):
                     likely = _known(shared.value, hashed(words, salts, length, first))
-                    held.append(_named(words, names, length, first[likely], n[likely]))
-                    number += len(held[-1])
-            if number >= HELD // 3:
-                held = [_added(held)]
-                number = len(held[0])
-                if number >= HELD // 6:
-                    yield from held[0].to_batches()
-                    held, number = [], 0
-        if held:
-            yield from _added(held).to_batches()
+                    # The partial aggregate adds up the chunks of a task.
+                    yield _named(words, names, length, first[likely], n[likely])
 
     counts = docs.mapInArrow(count, "lang string, size int, phrase string, n long")
     totals = counts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     return totals.where((F.col("n") >= support) | (F.col("size") == 0))
 
 
-def _all_words(words: Words, names: pa.Array) -> pa.Table:
+def _all_words(words: Words, names: pa.Array) -> pa.RecordBatch:
     n = np.bincount(words.lang, minlength=len(names))
-    return pa.table(
+    return pa.RecordBatch.from_pydict(
         {
             "lang": names,
             "size": pa.array(np.zeros(len(n), np.int32)),
@@ -333,9 +324,9 @@ def _all_words(words: Words, names: pa.Array) -> pa.Table:
     )
 
 
-def _named(words: Words, names: pa.Array, length: int, first: np.ndarray, n: np.ndarray) -> pa.Table:
+def _named(words: Words, names: pa.Array, length: int, first: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     parts = [words.spelled.take(pa.array(words.which[first + i])) for i in range(length)]
-    return pa.table(
+    return pa.RecordBatch.from_pydict(
         {
             "lang": names.take(pa.array(words.lang[first])),
             "size": pa.array(np.full(len(first), length, np.int32)),
@@ -345,11 +336,6 @@ def _named(words: Words, names: pa.Array, length: int, first: np.ndarray, n: np.
     )
 
 
-def _added(tables: list[pa.Table]) -> pa.Table:
-    keys = ["lang", "size", "phrase"]
-    return pa.concat_tables(tables).group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
-
-
 # Scores and ranks
 
 
