@@ -12,9 +12,9 @@ Everything is DataFrame and SQL functions.
 
 Defined cases: a null or empty text has no windows. An item shorter than a window is
 matched as a whole, by windows of its own length. A window of fewer than three ordinary
-words (for short items: none) is no evidence. Items without other windows, such as rows of
-numbers or names, are matched by the plain values of their windows instead, if they have at least
-six words and numbers; shorter ones are never matched. Items with equal text are reported under the smallest item id. Repeated
+words (for short items: none) is no evidence. Items without other windows, such as sums or rows of
+names, are matched by the plain values of their windows instead, if they have at least six words
+and numbers; windows of bare numbers are no evidence there either. Items with equal text are reported under the smallest item id. Repeated
 documents are judged alike, also under one id; extra columns play no part.
 """
 
@@ -82,11 +82,11 @@ def form_hashes(texts: DataFrame, text: Column, plain: bool = False) -> DataFram
 def templated(texts: DataFrame, text: Column, plain: bool = False) -> DataFrame:
     """``texts`` with ``h`` and ``slots``, the kind and value of each slot (null for words).
 
-    Plain values have no slots.
+    Of plain values the words are kept, not the numbers.
     """
     slots = f"zip_with(tokens, {BEFORE}, (k, p) -> concat({KIND}, {PLAIN}))"
     if plain:
-        slots = "transform(tokens, k -> cast(null as string))"
+        slots = f"transform(tokens, k -> case when {PLAIN} >= ':' then {PLAIN} end)"
     return form_hashes(texts, text, plain).withColumn("slots", F.expr(slots)).drop("tokens")
 
 
@@ -136,7 +136,7 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text")
     )
     known = stored(known.withColumn("plain", F.lit(False)), "item-windows")
     bare = single.join(known.select("item").distinct(), "item", "left_anti")
-    bare = _split(templated(bare, F.col("text"), plain=True).drop("text"), LEAST_PLAIN)
+    bare = _split(templated(bare, F.col("text"), plain=True).drop("text"), LEAST_PLAIN).where(F.size("s") > 0)
     known = known.unionByName(bare.withColumn("plain", F.lit(True)))
     totals = known.groupBy("item").agg(F.count(F.lit(1)).alias("total"))
     return known.join(totals, "item").select(
