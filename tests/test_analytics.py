@@ -12,12 +12,21 @@ from pyspark.sql import functions as F
 from telestrata.operators import distributions, enrich, health, lineage, profiles, windows
 from telestrata.plans.silver import apply_transformations
 from tests.conftest import event
-from tests.vectors import GOLD_EVENTS, GOVERNANCE
+from tests.vectors import edge_feed, plain_gold, plain_silver, random_feed
+
+EDGES = edge_feed()
+EDGE_ROWS = plain_silver(EDGES)
+EDGE_ANOMALIES = sum(r["_is_anomaly"] is True for r in EDGE_ROWS)
+EDGE_QUALITY = statistics.fmean(r["_quality_score"] for r in EDGE_ROWS)
+TORN = sum(isinstance(x, str) for x in EDGES)
+NO_KEY = sum(isinstance(x, str) or not {"device_id", "timestamp"} <= x.keys() for x in EDGES)
+FEED = random_feed()
+PLAIN = plain_gold(plain_silver(FEED))
 
 
 @pytest.fixture()
 def bronze(frame):
-    return frame(*GOVERNANCE).withColumns(
+    return frame(*EDGES).withColumns(
         {"_ingested_at": F.current_timestamp(), "_source_file": F.lit("one.json")}
     )
 
@@ -40,47 +49,48 @@ def health_rows(spark, rows):
 
 def test_bronze_profile(bronze):
     row = profiles.bronze_profile(bronze).first()
-    assert (row.total_rows, row.corrupt_records, row.source_files) == (12, 1, 1)
-    assert row.distinct_devices == 9
+    assert (row.total_rows, row.corrupt_records, row.source_files) == (len(EDGES), TORN, 1)
+    assert row.distinct_devices == len({x.get("device_id") for x in EDGES if isinstance(x, dict)} - {None})
 
 
 def test_silver_profile_and_breakdown(silver):
     row = profiles.silver_profile(silver).first()
-    assert (row.total_rows, row.distinct_devices, row.anomaly_count) == (8, 8, 4)
-    assert row.min_quality_score == 0.6
-    assert row.avg_quality_score == pytest.approx((0.6 + 0.9 * 3 + 4) / 8)
+    assert (row.total_rows, row.distinct_devices, row.anomaly_count) == (len(EDGE_ROWS), len(EDGE_ROWS), EDGE_ANOMALIES)
+    assert row.min_quality_score == min(r["_quality_score"] for r in EDGE_ROWS)
+    assert row.avg_quality_score == pytest.approx(EDGE_QUALITY)
     kinds = profiles.anomaly_breakdown(silver).first()
-    assert tuple(kinds) == (3, 0, 2, 4)
+    assert tuple(kinds) == (2, 0, 2, EDGE_ANOMALIES) and EDGE_ANOMALIES == 4
 
 
 def test_numeric_ranges(silver):
     row = profiles.numeric_ranges(silver).first()
-    assert (row.temp_min, row.temp_max, row.hum_min, row.pres_max) == (-60, 170, 0, 1105.25)
+    assert (row.temp_min, row.temp_max, row.hum_min, row.pres_max) == (-50.25, 150.25, 0, 1100.25)
 
 
 def test_layer_funnel_counts_a_missing_table_as_empty(bronze, silver):
     layers = {"bronze": bronze, "silver": silver, "gold": None}
     rows = profiles.layer_funnel(layers).orderBy("position").collect()
     assert [(r.layer, r.row_count, r.rows_dropped) for r in rows] == [
-        ("bronze", 12, 0),
-        ("silver", 8, 4),
-        ("gold", 0, 8),
+        ("bronze", len(EDGES), 0),
+        ("silver", len(EDGE_ROWS), len(EDGES) - len(EDGE_ROWS)),
+        ("gold", 0, len(EDGE_ROWS)),
     ]
-    assert [r.share_of_first for r in rows] == [1.0, 0.6667, 0.0]
-    assert [r.drop_rate for r in rows] == [0.0, 0.3333, 1.0]
+    kept = len(EDGE_ROWS) / len(EDGES)
+    assert [r.share_of_first for r in rows] == [1.0, pytest.approx(kept, abs=1e-4), 0.0]
+    assert [r.drop_rate for r in rows] == [0.0, pytest.approx(1 - kept, abs=1e-4), 1.0]
 
 
 def test_dq_summary(bronze, silver):
     gold = {"device_health": windows.compute_device_health(silver)}
     got = {(r.layer, r.metric): r.value for r in profiles.dq_summary(bronze, silver, gold).collect()}
     assert got == {
-        ("bronze", "total_records"): 12,
-        ("bronze", "corrupt_records"): 1,
-        ("bronze", "null_key_records"): 3,
-        ("silver", "clean_records"): 4,
-        ("silver", "anomalous_records"): 4,
-        ("silver", "avg_quality_score"): 0.9125,
-        ("gold", "aggregate_rows"): 8,
+        ("bronze", "total_records"): len(EDGES),
+        ("bronze", "corrupt_records"): TORN,
+        ("bronze", "null_key_records"): NO_KEY,
+        ("silver", "clean_records"): len(EDGE_ROWS) - EDGE_ANOMALIES,
+        ("silver", "anomalous_records"): EDGE_ANOMALIES,
+        ("silver", "avg_quality_score"): pytest.approx(EDGE_QUALITY, abs=1e-4),
+        ("gold", "aggregate_rows"): len(EDGE_ROWS),
     }
 
 
@@ -104,17 +114,12 @@ def test_device_rates_skip_undecided_rows(frame):
 
 
 def test_only_devices_with_anomalies_fewest_first(frame):
-    silver = apply_transformations(
-        frame(
-            *GOLD_EVENTS,
-            event(3, device_id="unit-09", temperature=300),
-        )
-    )
+    silver = apply_transformations(frame(*FEED, *[event(m, device_id="quiet") for m in range(3)]))
+    totals = {}
+    for (device, _), plain in PLAIN.items():
+        totals[device] = totals.get(device, 0) + plain["anomalies"]
     rows = profiles.anomaly_by_device(windows.compute_anomaly_summary(silver)).collect()
-    assert [(r.device_id, r.total_anomaly_count) for r in rows] == [
-        ("unit-08", 1),
-        ("unit-09", 2),
-    ]
+    assert [(r.device_id, r.total_anomaly_count) for r in rows] == sorted(totals.items(), key=lambda x: (x[1], x[0]))
 
 
 def test_device_abs_z(frame):
@@ -245,26 +250,32 @@ def test_rankings_break_ties_by_device_and_put_unknown_last(spark):
 
 
 def test_components_add_up_to_the_score(frame):
-    table = windows.compute_device_health(apply_transformations(frame(*GOLD_EVENTS)))
-    for r in health.lowest_health(table).collect():
+    table = windows.compute_device_health(apply_transformations(frame(*FEED)))
+    scored = [r for r in health.lowest_health(table, len(PLAIN)).collect() if r.health_score is not None]
+    assert len(scored) == sum(p["score"] is not None for p in PLAIN.values())
+    for r in scored:
         parts = r.quality_component + r.anomaly_component + r.battery_component
         assert parts == pytest.approx(r.health_score, abs=1e-4)
+    means = {}
+    for (device, _), plain in PLAIN.items():
+        means.setdefault(device, []).append(plain["score"])
     worst = health.health_decomposition(health.device_rollup(table), 1).first()
-    assert worst.device_id == "unit-09"
-    assert (worst.quality_component, worst.battery_component) == (0.36, 0.036)
+    assert worst.device_id == min(means, key=lambda d: statistics.fmean(x for x in means[d] if x is not None))
 
 
 def test_tiers_and_stats(frame):
-    table = windows.compute_device_health(apply_transformations(frame(*GOLD_EVENTS)))
+    table = windows.compute_device_health(apply_transformations(frame(*FEED)))
+    tiers = [p["tier"] for p in PLAIN.values()]
     shares = {r.risk_tier: (r.n, r.share) for r in health.risk_tiers(table).collect()}
-    assert shares == {t: (1, pytest.approx(1 / 3)) for t in ("healthy", "warning", "critical")}
+    assert shares == {t: (tiers.count(t), pytest.approx(tiers.count(t) / len(tiers))) for t in set(tiers)}
+    scores = [p["score"] for p in PLAIN.values() if p["score"] is not None]
     stats = health.health_stats(table).first()
-    assert (stats.min_health, stats.max_health) == (0.396, 0.982)
+    assert (stats.min_health, stats.max_health) == pytest.approx((min(scores), max(scores)), abs=1e-4)
 
 
 def test_kpis(frame):
     silver = apply_transformations(
-        frame(*GOLD_EVENTS).withColumn("_ingested_at", F.current_timestamp())
+        frame(*FEED).withColumn("_ingested_at", F.current_timestamp())
     )
     figures = health.kpis(
         windows.compute_anomaly_summary(silver),
@@ -272,7 +283,8 @@ def test_kpis(frame):
         enrich.processing_latency(silver),
     )
     got = {r.kpi: r.value for r in figures.collect()}
-    assert got["total_anomalies"] == 2 and got["critical_windows"] == 1
+    assert got["total_anomalies"] == sum(p["anomalies"] for p in PLAIN.values())
+    assert got["critical_windows"] == sum(p["tier"] == "critical" for p in PLAIN.values())
     assert got["median_latency_sec"] == 0
 
 
@@ -311,7 +323,7 @@ def test_joins_add_no_shuffle(spark, frame):
 
 def test_a_table_used_twice_is_computed_once(spark, frame, tmp_path):
     path = str(tmp_path / "silver")
-    apply_transformations(frame(*GOLD_EVENTS)).write.parquet(path)
+    apply_transformations(frame(*FEED)).write.parquet(path)
     table = windows.compute_device_health(spark.read.parquet(path))
     assert shuffles(health.health_trend(table, 2))[1] == 1
     numbers = spark.read.parquet(path).select(F.second("timestamp").alias("v"))
@@ -326,18 +338,27 @@ def test_unmatched_features_are_kept(spark, frame):
 
 
 def test_top_k(frame):
-    silver = apply_transformations(frame(*GOLD_EVENTS))
-    top = health.top_windows(windows.compute_device_summary(silver), 2).collect()
-    assert [r.device_id for r in top] == ["unit-07", "unit-08"]
+    silver = apply_transformations(frame(*FEED))
+    top = health.top_windows(windows.compute_device_summary(silver), 3).collect()
+    largest = sorted(PLAIN, key=lambda key: (-PLAIN[key]["n"], key))[:3]
+    assert [(r.device_id, r.window_start.hour) for r in top] == largest
+    decided, distance = {}, {}
+    for row in plain_silver(FEED):
+        if row["_is_anomaly"] is not None:
+            decided.setdefault(row["device_id"], []).append(row["_is_anomaly"])
+        if row["_temperature_zscore"] is not None:
+            distance.setdefault(row["device_id"], []).append(abs(row["_temperature_zscore"]))
     rates = health.top_anomaly_rate(profiles.device_anomaly_rate(silver), 2).collect()
-    assert [r.device_id for r in rates] == ["unit-09", "unit-08"]
+    assert [r.device_id for r in rates] == sorted(decided, key=lambda d: (-statistics.fmean(decided[d]), d))[:2]
     unusual = health.top_abs_z(profiles.device_abs_z(silver), 1).collect()
-    assert [r.device_id for r in unusual] == ["unit-08"]
+    assert [r.device_id for r in unusual] == sorted(distance, key=lambda d: (-statistics.fmean(distance[d]), d))[:1]
 
 
 def test_schema_diff(bronze, silver):
     rows = {r.column_name: r for r in lineage.schema_diff(bronze, silver).collect()}
     assert {c for c, r in rows.items() if r.change == "dropped"} == {"_corrupt_record", "_source_file"}
     assert sum(r.change == "added" for r in rows.values()) == 10
-    assert (rows["device_id"].filled_before, rows["device_id"].filled_after) == (10, 8)
-    assert rows["_corrupt_record"].filled_before == 1
+    assert (rows["device_id"].filled_before, rows["device_id"].filled_after) == (
+        sum("device_id" in x for x in EDGES if isinstance(x, dict)), len(EDGE_ROWS)
+    )
+    assert rows["_corrupt_record"].filled_before == TORN

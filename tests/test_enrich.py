@@ -7,7 +7,7 @@ from telestrata.operators import enrich
 from telestrata.plans.silver import apply_transformations
 from telestrata.settings import Settings
 from tests.conftest import event
-from tests.vectors import EXPECTED, GOVERNANCE
+from tests.vectors import edge_feed, plain_silver, random_feed
 
 FLAGS = ("_is_temp_anomaly", "_is_humidity_anomaly", "_is_pressure_anomaly", "_is_anomaly")
 ZSCORES = ("_temperature_zscore", "_humidity_zscore", "_pressure_zscore")
@@ -115,15 +115,15 @@ def test_slices_leave_out_undecided_rows(frame):
     assert enrich.only_clean(df).count() == 1
 
 
-def test_governance_vectors(frame):
-    rows = {r.device_id: r for r in apply_transformations(frame(*GOVERNANCE)).collect()}
-    assert set(rows) == set(EXPECTED) and len(rows) == 8
-    for device, (humidity, raised, z, quality, *_) in EXPECTED.items():
-        row = rows[device]
-        assert row.humidity == humidity
-        assert flags(row) == raised
-        assert tuple(row[c] for c in ZSCORES) == z
-        assert row._quality_score == quality
+@pytest.mark.parametrize("feed", [edge_feed(), random_feed()], ids=["limits", "random"])
+def test_silver_equals_plain_python(frame, feed):
+    expected = plain_silver(feed)
+    rows = {(r.device_id, r.timestamp.strftime("%H:%M")): r for r in apply_transformations(frame(*feed)).collect()}
+    assert len(rows) == len(expected)
+    for plain in expected:
+        row = rows[plain["device_id"], plain["timestamp"][11:16]]
+        for column in ("humidity", "temperature", "location", *FLAGS, *ZSCORES, "_quality_score"):
+            assert row[column] == plain[column], (column, plain)
 
 
 def test_silver_columns(frame):

@@ -14,7 +14,7 @@ from telestrata.streaming.storage import check_stream_storage
 from __spark_entry__ import oracle_sql, queries
 from tests.conftest import event
 from tests.test_entry import SMALL
-from tests.vectors import GOVERNANCE
+from tests.vectors import edge_feed, plain_silver
 from verification import queries as verified
 from verify_queries import compare, connect
 
@@ -52,15 +52,16 @@ def run(spark, tmp_path):
     return Run(spark, tmp_path)
 
 
-def test_governance_vectors_through_the_streams(run, land):
-    land(*GOVERNANCE)
+def test_the_limits_through_the_streams(run, land):
+    feed = edge_feed()
+    land(*feed)
     run.to_bronze()
     run.to_silver()
     bronze, silver = run.rows("bronze"), run.rows("silver")
-    assert bronze.count() == 12 and len(bronze.columns) == 11
-    assert bronze.where("_corrupt_record is not null").count() == 1
+    assert bronze.count() == len(feed) and len(bronze.columns) == 11
+    assert bronze.where("_corrupt_record is not null").count() == sum(isinstance(x, str) for x in feed)
     assert bronze.where("_ingested_at is null or _source_file is null").count() == 0
-    assert silver.count() == 8 and len(silver.columns) == 19
+    assert silver.count() == len(plain_silver(feed)) and len(silver.columns) == 19
     as_batch = apply_transformations(bronze)
     clock = ("_ingested_at", "_processed_at")
     assert silver.drop(*clock).exceptAll(as_batch.drop(*clock)).count() == 0

@@ -8,63 +8,68 @@ from telestrata.functions import exact_mean
 from telestrata.operators import windows
 from telestrata.plans.silver import apply_transformations
 from tests.conftest import event
-from tests.vectors import EXPECTED, GOLD_EVENTS, GOVERNANCE
+from tests.vectors import edge_feed, plain_gold, plain_silver, random_feed
 
-HEALTH = {
-    # device: n, avg quality, rate, avg battery, health, tier
-    "unit-07": (3, 1.0, 0.0, 94.0, 0.982, "healthy"),
-    "unit-08": (2, 0.95, 0.5, 65.5, 0.7265, "warning"),
-    "unit-09": (1, 0.9, 1.0, 12.0, 0.396, "critical"),
-}
+FEED = random_feed()
+PLAIN = plain_gold(plain_silver(FEED))
 
 
 @pytest.fixture()
 def silver(frame):
-    return apply_transformations(frame(*GOLD_EVENTS))
+    return apply_transformations(frame(*FEED))
 
 
-def by_device(df):
-    return {r.device_id: r for r in df.collect()}
+def by_window(df):
+    return {(r.device_id, r.window_start.hour): r for r in df.collect()}
+
+
+def near(value, places):
+    return None if value is None else pytest.approx(value, abs=0.6 * 10**-places)
 
 
 def test_device_summary(silver):
-    rows = by_device(windows.compute_device_summary(silver))
-    assert [rows[d].avg_temperature for d in sorted(rows)] == [21.0, 102.25, 24.5]
-    assert [rows[d].stddev_temperature for d in sorted(rows)] == [3.0, 109.96, None]
-    assert rows["unit-08"].max_temperature == 180.0
-    assert rows["unit-08"].anomaly_count == 1
-    assert len(windows.compute_device_summary(silver).columns) == 14
+    table = windows.compute_device_summary(silver)
+    rows = by_window(table)
+    assert rows.keys() == PLAIN.keys() and len(table.columns) == 14
+    for key, plain in PLAIN.items():
+        row, temps = rows[key], plain["temps"]
+        assert (row.event_count, row.anomaly_count) == (plain["n"], plain["anomalies"])
+        assert row.avg_temperature == near(statistics.fmean(temps) if temps else None, 2)
+        assert row.stddev_temperature == near(statistics.stdev(temps) if len(temps) > 1 else None, 2)
+        assert (row.min_temperature, row.max_temperature) == (min(temps, default=None), max(temps, default=None))
 
 
 def test_anomaly_summary(silver):
-    rows = by_device(windows.compute_anomaly_summary(silver))
-    counts = {
-        d: (r.temp_anomaly_count, r.humidity_anomaly_count, r.pressure_anomaly_count, r.total_anomaly_count)
-        for d, r in rows.items()
-    }
-    assert counts == {
-        "unit-07": (0, 0, 0, 0),
-        "unit-08": (1, 0, 0, 1),
-        "unit-09": (0, 0, 1, 1),
-    }
-    assert len(windows.compute_anomaly_summary(silver).columns) == 9
+    table = windows.compute_anomaly_summary(silver)
+    assert len(table.columns) == 9
+    for key, row in by_window(table).items():
+        plain = PLAIN[key]
+        assert (row.temp_anomaly_count, row.humidity_anomaly_count, row.pressure_anomaly_count) == plain["kinds"]
+        assert (row.total_events, row.total_anomaly_count) == (plain["n"], plain["anomalies"])
+        assert row.anomaly_rate == near(plain["rate"], 4)
+
+
+def same_health(table, plain_rows):
+    rows = by_window(table)
+    assert rows.keys() == plain_rows.keys()
+    for key, plain in plain_rows.items():
+        row = rows[key]
+        assert row.event_count == plain["n"]
+        assert row.avg_quality_score == near(plain["quality"], 4)
+        assert row.anomaly_rate == near(plain["rate"], 4)
+        assert row.avg_battery_level == near(plain["battery"], 2)
+        assert row.health_score == near(plain["score"], 4)
+        assert row.risk_tier == plain["tier"]
 
 
 def test_device_health(silver):
-    rows = by_device(windows.compute_device_health(silver))
-    got = {
-        d: (r.event_count, r.avg_quality_score, r.anomaly_rate, r.avg_battery_level, r.health_score, r.risk_tier)
-        for d, r in rows.items()
-    }
-    assert got == HEALTH
+    assert {p["tier"] for p in PLAIN.values()} == {"healthy", "warning", "critical"}
+    same_health(windows.compute_device_health(silver), PLAIN)
 
 
-def test_health_of_the_governance_vectors(frame):
-    rows = by_device(windows.compute_device_health(apply_transformations(frame(*GOVERNANCE))))
-    for device, (_, _, _, quality, rate, score, tier) in EXPECTED.items():
-        row = rows[device]
-        assert (row.avg_quality_score, row.anomaly_rate) == (quality, rate)
-        assert (row.health_score, row.risk_tier) == (score, tier)
+def test_health_at_the_limits(frame):
+    feed = edge_feed()
+    same_health(windows.compute_device_health(apply_transformations(frame(*feed))), plain_gold(plain_silver(feed)))
 
 
 def test_without_battery_the_score_is_unknown_and_the_tier_critical(frame):
@@ -81,23 +86,27 @@ def test_weights_and_tiers_are_parameters(silver):
             "risk_tiers": {"healthy": 0.95, "warning": 0.92},
         }
     }
-    rows = by_device(windows.compute_device_health(silver, config))
-    assert {d: (r.health_score, r.risk_tier) for d, r in rows.items()} == {
-        "unit-07": (1.0, "healthy"),
-        "unit-08": (0.95, "healthy"),
-        "unit-09": (0.9, "critical"),
-    }
+    for key, row in by_window(windows.compute_device_health(silver, config)).items():
+        if PLAIN[key]["score"] is None:
+            assert (row.health_score, row.risk_tier) == (None, "critical")
+            continue
+        assert row.health_score == near(PLAIN[key]["quality"], 4)
+        tier = "healthy" if row.health_score >= 0.95 else "warning" if row.health_score >= 0.92 else "critical"
+        assert row.risk_tier == tier
 
 
 def test_ml_features(silver):
     table = windows.compute_ml_features(silver)
     assert len(table.columns) == 35
-    row = by_device(table)["unit-07"]
-    assert (row.temp_mean, row.temp_stddev, row.temp_range) == (21.0, 3.0, 6.0)
-    assert (row.battery_min, row.battery_max) == (92.0, 96.0)
-    assert row.temp_zscore_abs_mean == 0.4667 and row.temp_zscore_abs_max == 0.8
-    alone = by_device(table)["unit-09"]
-    assert alone.temp_stddev is None and alone.temp_range == 0.0
+    for key, row in by_window(table).items():
+        plain = PLAIN[key]
+        temps, batteries, z = plain["temps"], plain["batteries"], plain["z"]
+        assert row.temp_range == (max(temps) - min(temps) if temps else None)
+        assert row.temp_stddev == near(statistics.stdev(temps) if len(temps) > 1 else None, 4)
+        assert (row.battery_min, row.battery_max) == (min(batteries, default=None), max(batteries, default=None))
+        assert row.temp_zscore_abs_mean == near(statistics.fmean(z) if z else None, 4)
+        assert row.temp_zscore_abs_max == max(z, default=None)
+        assert row.quality_mean == near(plain["quality"], 4)
 
 
 @pytest.mark.parametrize("window, starts", [("30 minutes", 4), ("1 hour", 2), ("2 hours", 1)])
