@@ -12,14 +12,7 @@ from telestrata.operators.windows import KEYS
 from telestrata.settings import Settings
 
 Config = Settings | Mapping | None
-KEY_FEATURES = (
-    "temp_range",
-    "hum_range",
-    "pres_range",
-    "anomaly_rate",
-    "quality_mean",
-    "battery_mean",
-)
+BLOCK = 8  # features correlated side by side in one row
 
 
 def histogram(
@@ -93,9 +86,9 @@ def histogram_2d(
 
 
 def feature_histogram(
-    features: DataFrame, width: float = 0.5, columns: Sequence[str] = KEY_FEATURES
+    features: DataFrame, width: float = 0.5, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    long = _features_long(features, columns)
+    long = _features_long(features, columns or numeric_features(features))
     return histogram(long, "value", width, by=("feature",))
 
 
@@ -198,26 +191,35 @@ def feature_correlation(
 ) -> DataFrame:
     """Pearson correlation of every feature pair over the rows that have both.
 
-    A row gives one entry per pair of its filled features. Those entries are
-    folded into running moments inside the task that reads the row, so the
-    shuffle carries one set of moments per pair and partition, whatever the number
-    of rows. A constant feature has no correlation and gives null.
+    Each row meets itself once per feature and block of others, not once per pair: a block's
+    moments stand side by side in one aggregate, few enough for compiled code. They are folded
+    inside the task that reads the row, so the shuffle carries one row of moments per feature,
+    block and partition, whatever the number of rows. A constant feature has no correlation and
+    gives null.
     """
     names = list(columns or numeric_features(features))
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("x"))
-            for i, c in enumerate(names)
-        ]
-    )
-    filled = features.select(F.filter(entries, lambda e: e["x"].isNotNull()).alias("row"))
-    left = filled.select("row", F.inline("row").alias("i", "x"))
-    pairs = left.select("i", "x", F.inline("row").alias("j", "y")).where("i <= j")
-    r = F.try_divide(
-        F.covar_pop("x", "y"), F.sqrt(F.var_pop("x")) * F.sqrt(F.var_pop("y"))
+    cells = [
+        F.struct(F.lit(i).alias("i"), F.lit(start).alias("start"))
+        for start in range(0, len(names), BLOCK)
+        for i in range(min(start + BLOCK, len(names)))
+    ]
+    values = features.select(F.array(*[F.col(c).cast("double") for c in names]).alias("f"))
+    met = values.select("f", F.inline(F.array(*cells))).select(
+        "i", "start", F.get("f", "i").alias("x"),
+        *[F.get("f", F.col("start") + k).alias(f"y{k}") for k in range(BLOCK)],
     )
-    upper = pairs.groupBy("i", "j").agg(
-        (r if places is None else F.round(r, places)).alias("correlation")
+
+    def moments(y: str) -> Column:
+        x_there, y_there = F.when(F.col(y).isNotNull(), F.col("x")), F.when(F.col("x").isNotNull(), F.col(y))
+        r = F.try_divide(F.covar_pop("x", y), F.sqrt(F.var_pop(x_there)) * F.sqrt(F.var_pop(y_there)))
+        return r if places is None else F.round(r, places)
+
+    blocks = met.groupBy("i", "start").agg(*[moments(f"y{k}").alias(f"r{k}") for k in range(BLOCK)])
+    beside = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"r{k}").alias("correlation")) for k in range(BLOCK)])
+    upper = (
+        blocks.select("i", "start", F.inline(beside))
+        .select("i", (F.col("start") + F.col("k")).alias("j"), "correlation")
+        .where((F.col("i") <= F.col("j")) & (F.col("j") < len(names)))
     )
     # The matrix is symmetric: each pair below the diagonal mirrors one above it.
     both_ways = F.array(

@@ -1,7 +1,7 @@
 """Raw telemetry: newline-delimited JSON with a fixed schema.
 
 A record that does not parse, or holds a value of the wrong type, keeps its text
-in ``_corrupt_record``. Fields outside the schema are ignored.
+in ``_corrupt_record``. Fields outside the schema are ignored, or kept as a variant on request.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telestrata.schema import CORRUPT_COLUMN, RAW_SCHEMA
+from telestrata.schema import CORRUPT_COLUMN, RAW_SCHEMA, TELEMETRY_COLUMNS
 from telestrata.settings import Settings
 
 PARSER = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
@@ -35,10 +35,22 @@ def read_raw_stream(
     )
 
 
-def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """The same parse for text that is already in a column."""
-    parsed = lines.select(F.from_json(column, RAW_SCHEMA, PARSER).alias("record"))
-    return parsed.select("record.*")
+def parse_lines(lines: DataFrame, column: str = "value", rescued: str | None = None) -> DataFrame:
+    """The same parse for text that is already in a column.
+
+    ``rescued`` names a variant column for the fields that the schema doesn't know, with their
+    types and nested values, to be read by path (``variant_get``). It is null where there are
+    none and where the line isn't an object. Streams of text parse the same way.
+    """
+    record = F.from_json(column, RAW_SCHEMA, PARSER).alias("record")
+    if rescued is None:
+        return lines.select(record).select("record.*")
+    known = F.array(*map(F.lit, TELEMETRY_COLUMNS))
+    parsed = lines.select(record, F.from_json(column, "map<string, variant>").alias("fields"))
+    unknown = F.map_filter("fields", lambda name, _: ~F.array_contains(known, name))
+    return parsed.select("record.*", unknown.alias("fields")).select(
+        *RAW_SCHEMA.names, F.when(F.size("fields") > 0, F.to_variant_object("fields")).alias(rescued)
+    )
 
 
 def add_ingestion_metadata(df: DataFrame) -> DataFrame:

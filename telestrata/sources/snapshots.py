@@ -134,6 +134,19 @@ def read_version(
     return spark.read.schema(columns).parquet(*[f"{path}/{f}" for f in folders])
 
 
+def unshared(spark: SparkSession, path: str, old: int, new: int) -> tuple[DataFrame, DataFrame]:
+    """Two versions without the folders that both hold, for comparing them."""
+    versions, _ = _versions(spark, path)
+    folders = {r.version: r.folders for r in versions}
+    shared = set(folders[old]) & set(folders[new])
+    sides = []
+    for version in (old, new):
+        rows = read_version(spark, path, version)
+        own = [f"{path}/{f}" for f in folders[version] if f not in shared]
+        sides.append(spark.read.schema(rows.schema).parquet(*own) if own else rows.limit(0))
+    return sides[0], sides[1]
+
+
 def _folder_of(file: Column) -> Column:
     """The data folder of a file of a table, as history rows name it."""
     return F.regexp_extract(file, r"data/[^/]+", 0)

@@ -8,13 +8,13 @@ change.
 
 from __future__ import annotations
 
-from telestrata.operators.distributions import KEY_FEATURES
 from verification.names import FEATURES, MODEL_LABEL
 
 RAW = (
     "device_id, timestamp, temperature, humidity, pressure, battery_level, "
     "location, firmware_version"
 )
+# Fixed values, as in the settings of the library.
 SENSORS = (
     # column, short, label, low, high, mean, stddev
     ("temperature", "temp", "temp", -50, 150, 22.0, 5.0),
@@ -587,7 +587,7 @@ def oracles() -> dict[str, str]:
         "hist_health": gold(hist("device_health", "health_score", 0.05, "risk_tier, ")),
         "hist_latency": silver(hist("latency", "_latency_sec", 5), LATENCY),
         "hist_features": gold(
-            hist(long_features(KEY_FEATURES), "value", 0.5, "feature, ")
+            hist(long_features(FEATURES), "value", 0.5, "feature, ")
         ),
         "risk_tiers": gold(
             "select risk_tier, count(*) as n, cast(count(*) as double) / "
@@ -805,9 +805,11 @@ def oracles() -> dict[str, str]:
             f"select {MODEL_LABEL}, sum(count(*)) over () / (2.0::double * count(*)) as weight "
             f"from labelled group by {MODEL_LABEL}", LABELLED,
         ),
-        "ml_columns": " union all ".join(
-            f"select '{f}' as feature, '{_category(f)}' as category" for f in FEATURES if f not in LEAKING
-        ),
+        "ml_columns": gold(" union all ".join(
+            f"select '{f}' as feature, '{_category(f)}' as category, count({f}) as filled, "
+            f"coalesce(max({f}) > min({f}), false) as varies from ml_features"
+            for f in FEATURES if f not in LEAKING
+        )),
         "rule_report": gold(" union all ".join(
             f"select '{name}' as class, {_over('hit', 'hit + false_hit')} as precision, "
             f"{_over('hit', 'hit + missed')} as recall, "
