@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telestrata.operators.windows import GOLD_TABLES, window_stats
 from telestrata.settings import Settings
 from telestrata.sources import snapshots
-from telestrata.sources.storage import delete_folder, workspace
+from telestrata.sources.storage import delete_folder, together, workspace
 
 
 def build_and_write(
@@ -38,9 +36,7 @@ def build_and_write(
     try:
         staged.write.parquet(staged_path)
         # The tables do not depend on each other, so their jobs may overlap.
-        with ThreadPoolExecutor(len(GOLD_TABLES)) as threads:
-            rows = threads.map(inheritable_thread_target(spark)(write), GOLD_TABLES)
-            return dict(zip(GOLD_TABLES, rows))
+        return dict(zip(GOLD_TABLES, together(spark, write, GOLD_TABLES)))
     finally:
         delete_folder(spark, staged_path)
 

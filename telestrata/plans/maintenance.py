@@ -11,6 +11,7 @@ from telestrata.operators.windows import GOLD_TABLES
 from telestrata.settings import Settings
 from telestrata.sources import batches, snapshots
 from telestrata.sources.layers import read_layer
+from telestrata.sources.storage import together
 
 RESULT_SCHEMA = "layer string, action string, status string, files_changed bigint"
 
@@ -59,7 +60,10 @@ def run_maintenance(
     target_bytes: int = 128 * 1024 * 1024,
 ) -> DataFrame:
     """Compact and expire every table by the policy of its layer; one result row
-    per table and action. Unexpected errors are raised."""
+    per table and action. Unexpected errors are raised.
+
+    A compaction has no more tasks than files it writes, so the tables are taken together.
+    """
     settings = Settings.of(config)
     targets = [
         ("Bronze", bronze_path, settings.bronze_retention_hours),
@@ -69,8 +73,10 @@ def run_maintenance(
         (f"Gold/{name}", f"{gold_path}/{name}", settings.gold_retention_hours)
         for name in GOLD_TABLES
     ]
-    results = []
-    for label, path, retention in targets:
+
+    def maintained(target: tuple[str, str, float]) -> list[tuple]:
+        label, path, retention = target
+        results = []
         if settings.optimize_enabled:
             done = snapshots.compact(spark, path, target_bytes)
             status = "compacted" if done else "nothing to do"
@@ -79,4 +85,7 @@ def run_maintenance(
             removed = snapshots.expire(spark, path, retention)
             status = "kept forever" if retention <= 0 else "expired"
             results.append((label, "expire", status, len(removed)))
+        return results
+
+    results = [row for rows in together(spark, maintained, targets) for row in rows]
     return spark.createDataFrame(results, RESULT_SCHEMA)

@@ -7,7 +7,10 @@ import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,17 @@ def data_files(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def together(spark: SparkSession, work: Callable, items: Iterable) -> list:
+    """Results of ``work`` for a few items, in their order, with overlapping jobs.
+
+    Every call is wrapped by itself: the wrapper copies Spark's local properties, and threads
+    that share one copy clear each other's entries while queries start.
+    """
+    calls = [(inheritable_thread_target(spark)(work), item) for item in items]
+    with ThreadPoolExecutor(max(1, len(calls))) as threads:
+        return [done.result() for done in [threads.submit(call, item) for call, item in calls]]
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -1,3 +1,4 @@
+import threading
 from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
 
@@ -10,7 +11,7 @@ from telestrata.plans.maintenance import run_maintenance, snapshot_streamed_laye
 from telestrata.plans.silver import apply_transformations
 from telestrata.settings import Settings
 from telestrata.sources import snapshots
-from telestrata.sources.storage import data_files, folder_exists, workspace
+from telestrata.sources.storage import data_files, folder_exists, together, workspace
 from tests.vectors import plain_gold, plain_silver, random_feed
 
 
@@ -177,6 +178,24 @@ def test_maintenance_follows_the_policy_of_each_layer(spark, frame, tmp_path):
     assert len(rows) == 12
 
 
+def test_overlapping_calls_have_local_properties_of_their_own(spark):
+    meet, context = threading.Barrier(3, timeout=30), spark.sparkContext
+
+    def work(name):
+        context.setLocalProperty("telestrata.call", name)
+        meet.wait()
+        return context.getLocalProperty("telestrata.call")
+
+    assert together(spark, work, "abc") == ["a", "b", "c"]
+
+
+def test_tables_are_maintained_together(spark, monkeypatch):
+    meet = threading.Barrier(2 + len(GOLD_TABLES), timeout=30)
+    monkeypatch.setattr(snapshots, "compact", lambda *_: (meet.wait(), None)[1])
+    rows = run_maintenance(spark, "bronze", "silver", "gold", Settings(optimize_enabled=True)).collect()
+    assert [r.layer for r in rows] == ["Bronze", "Silver", *[f"Gold/{name}" for name in GOLD_TABLES]]
+
+
 def test_working_folders_are_fresh(spark):
     assert workspace(spark, "x") != workspace(spark, "x")
 
