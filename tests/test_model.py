@@ -154,3 +154,16 @@ def test_alerts_and_drift(scored):
     days = model.drift(scored).collect()
     assert sum(d.windows for d in days) == 600
     assert all(abs(d.gap) < 0.2 for d in days)
+
+
+def test_the_curve_reads_written_scores(scored, monkeypatch):
+    from verification import queries
+
+    read = []
+    points = model.roc_points
+    monkeypatch.setattr(queries, "scored_test", lambda spark, sf: scored)
+    monkeypatch.setattr(model, "roc_points", lambda rows: read.extend(rows.inputFiles()) or points(rows))
+    found = {r.figure: r.value for r in queries.ml_roc(scored.sparkSession, "").collect()}
+    assert found["auc"] == pytest.approx(model.auc(points(scored)).first().auc)
+    assert found["points"] == points(scored).count()
+    assert read and all("scored-test" in file for file in read)

@@ -629,7 +629,11 @@ def ml_train(spark, sf):
 
 
 def ml_roc(spark, sf):
-    points = model.roc_points(scored_test(spark, sf))
+    path = workspace(spark, "scored-test")
+    # The points read their input several times; the forest scores it once.
+    scored = scored_test(spark, sf).select(model.LABEL, "predicted_prob")
+    scored.write.parquet(path)
+    points = model.roc_points(spark.read.schema(scored.schema).parquet(path))
     area = model.auc(points).select(F.lit("auc").alias("figure"), F.col("auc").alias("value"))
     size = points.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
         F.lit("points").alias("figure"), "value"
