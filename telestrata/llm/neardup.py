@@ -10,8 +10,8 @@ repeat. A document with repeated shingles is signed once more with equal rates,
 with other repeats meet as well.
 
 Bands of six components give buckets. A pair of a bucket is verified exactly, unless the sizes
-or one-bit sketches of the shingle sets already rule it out: the Jaccard similarity of the sets
-must reach 0.8. Large buckets aren't multiplied out: see ``verified_roots``. Linked documents
+or one-bit sketches of the shingle sets already rule it out, or the number of shingles that come
+in other components as well: the Jaccard similarity of the sets must reach 0.8. Large buckets aren't multiplied out: see ``verified_roots``. Linked documents
 and equal texts form classes.
 
 A pair of similarity 0.8 shares a bucket with a probability of 0.9993. The bits of the sketches
@@ -241,6 +241,22 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return near.select("rep", "s.*", F.size("s.shingles").alias("size"))
 
 
+def with_shared(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """``sets`` with ``shared``, how many of the shingles other components under ``roots`` have as well.
+
+    Two documents of different components have at most the smaller of their two numbers in common,
+    however many documents share a passage.
+    """
+    keyed = rooted(sets, roots).withColumn("of", F.xxhash64("rep", "shingles"))
+    each = keyed.select("of", "root", F.explode("shingles").alias("shingle"))
+    held = each.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    several = stored(held.where("lo <> hi").select("shingle"), "shared-shingles")
+    own = each.drop("root").distinct().join(several, "shingle", "left_anti")
+    own = own.groupBy("of").agg(F.count(F.lit(1)).alias("n"))
+    shared = F.col("size") - F.coalesce("n", F.lit(0))
+    return keyed.join(own, "of", "left").select(*sets.columns, shared.alias("shared"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The ``pairs(a, b)`` whose shingle sets are similar enough."""
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
@@ -257,9 +273,16 @@ def rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.join(named, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
 
 
+MEMBER = ("rep", "root", "sketch", "size", "shared")
+
+
 def _chosen(posts: DataFrame, turn: str) -> DataFrame:
-    """The members of each bucket that all others of it are compared with."""
-    member = F.struct("rep", "root", "sketch", "size")
+    """The members of each bucket that all others of it are compared with.
+
+    In the last turn with their buckets and with ``most``, the bucket's largest component.
+    """
+    columns = [*MEMBER, "bands", "most"] if turn == "all" else MEMBER
+    member = F.struct(*MEMBER)
     if turn == "smallest":
         found = posts.groupBy("bucket").agg(F.min(member).alias("m"))
     elif turn == "few":
@@ -268,8 +291,9 @@ def _chosen(posts: DataFrame, turn: str) -> DataFrame:
     else:
         parts = posts.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
         largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("most"))
-        found = posts.join(largest, "bucket").where("root <> most").select("bucket", member.alias("m"))
-    return found.select("bucket", *[F.col(f"m.{c}").alias(f"c_{c}") for c in ("rep", "root", "sketch", "size")])
+        outside = posts.join(largest, "bucket").where("root <> most")
+        found = outside.select("bucket", F.struct(*columns).alias("m"))
+    return found.select("bucket", *[F.col(f"m.{c}").alias(f"c_{c}") for c in columns])
 
 
 def verified_roots(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -280,14 +304,20 @@ def verified_roots(members: DataFrame, sets: DataFrame) -> DataFrame:
     last with all outside the bucket's largest component. After each turn components are formed
     anew; buckets whose members are of one component are settled, and members of one component are
     never compared again. So a group of near copies meets in few of its buckets, and the last
-    turn covers every pair of different components: no pair is left out.
+    turn covers every pair of different components: no pair is left out. It begins with a count of the
+    shingles that components share, so that a common passage doesn't make pairs of all its documents.
     """
-    members, roots = members.withColumn("root", F.col("rep")), None
+    up, down = SIMILAR
+    members, roots = members.withColumns({"root": F.col("rep"), "shared": F.col("size")}), None
     for turn, low, high in [*(("smallest", *step) for step in STEPS), ("few", 0, BANDS), ("all", 0, BANDS)]:
-        posts = members.withColumn("bucket", F.explode(_taken(low, high))).drop("bands")
+        if turn == "all":
+            found = with_shared(sets, roots).select("rep", "size", "sketch", "shared")
+            members = members.drop("size", "sketch", "shared").distinct().join(found, "rep")
+            members = stored(members.where(F.col("shared") * down >= F.col("size") * up), "members")
+        posts = members.withColumn("bucket", F.explode(_taken(low, high)))
+        posts = posts if turn == "all" else posts.drop("bands")
         several = posts.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         posts = stored(posts.join(several.where("lo <> hi").select("bucket"), "bucket", "left_semi"), "unsettled")
-        up, down = SIMILAR
         # Similar sets are at most one step of size apart.
         step = lambda size: F.floor(F.log(size) / F.log(F.lit(down / up))).cast("int")
         steps = F.array(*[step("c_size") + i for i in (-1, 0, 1)])
@@ -298,8 +328,14 @@ def verified_roots(members: DataFrame, sets: DataFrame) -> DataFrame:
             & (F.col("root") != F.col("c_root"))
             & (F.col("size") * down >= F.col("c_size") * up)
             & (F.col("c_size") * down >= F.col("size") * up)
+            & (F.least("shared", "c_shared") * (up + down) >= (F.col("size") + F.col("c_size")) * up)
             & (unlike("sketch", "c_sketch") <= MOST_UNLIKE)
         )
+        if turn == "all":
+            # Of two members outside the largest component one is the chosen one, and two that
+            # share several buckets are compared in the first of these.
+            first = F.array_min(F.array_intersect("bands", "c_bands"))
+            plausible &= ((F.col("root") == F.col("c_most")) | (F.col("rep") < F.col("c_rep"))) & (F.col("bucket") == first)
         pairs = posts.join(chosen, plausible).select(
             F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")
         )

@@ -107,6 +107,28 @@ def test_chains_are_kept_by_later_rounds(spark):
     assert {(r["node"], r["root"]) for r in roots.collect()} == {(1, 0), (2, 0), (3, 0)}
 
 
+def test_common_passages_make_no_pairs(spark, monkeypatch):
+    """Two buckets of documents that share most of their words, of which only two are similar."""
+    passage = [f"p{i}" for i in range(160)]
+    rows = [(i, " ".join(passage + [f"x{i}_{j}" for j in range(30)])) for i in range(30)]
+    rows.append((30, rows[7][1].rsplit(" ", 2)[0]))
+    assert brute_classes(rows)[30] == 7 and len(set(brute_classes(rows).values())) == 30
+    docs = frame(spark, rows).withColumnRenamed("doc_id", "id")
+    sets = neardup.shingle_sets(docs, docs.selectExpr("id as rep"))
+    members = sets.select("rep", F.array(F.lit(7), F.lit(9)).alias("bands"), "sketch", "size")
+    compared, keep = [], neardup.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        compared.extend([out.count()] if name == "pairs" else [])
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+    roots = neardup.verified_roots(members, sets)
+    assert {(r["node"], r["root"]) for r in roots.collect()} == {(30, 7)}
+    assert compared[-1] <= 1
+
+
 def test_odd_rows(spark):
     rows = [(4, None), (5, None), (6, ""), (7, ""), (8, "one two"), (9, "one two"), (None, "one two"), (None, "alone"), (10, "same id"),
             (10, "other text under it"), (11, "other text under it"), (12, "  ")]
