@@ -9,6 +9,8 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,13 @@ def slices(lengths: np.ndarray, at_most: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def stretches(texts: pa.Array, at_most: int) -> Iterator[pa.Array]:
+    """The texts of a batch, at most that many bytes at a time; a longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for a, b in slices(sizes, at_most):
+        yield texts.slice(a, b - a)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix of every element (uint64 in, uint64 out)."""
     x = x ^ (x >> np.uint64(32))

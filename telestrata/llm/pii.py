@@ -35,10 +35,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telestrata.llm.common import fresh, ship
+from telestrata.llm.common import fresh, ship, stretches
 
 KINDS = ("email", "ip", "card", "phone", "account", "url")
 BASE_KINDS = KINDS[:4]
+CHUNK = 1 << 20  # bytes of text that a task masks at once; bounds its memory
 
 # Words that announce an identifier.
 CUES = (
@@ -232,10 +233,11 @@ def _spans_of(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 def _masked_text(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in texts:
-        yield pa.array(
-            [None if t is None else masked(t, find_spans(t)) for t in batch.to_pylist()],
-            pa.string(),
-        )
+        for part in stretches(batch, CHUNK):
+            yield pa.array(
+                [None if t is None else masked(t, find_spans(t)) for t in part.to_pylist()],
+                pa.string(),
+            )
 
 
 def detect(docs: DataFrame, text: str = "text") -> DataFrame:

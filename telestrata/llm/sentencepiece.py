@@ -35,14 +35,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telestrata.llm.common import fresh, ship, slices
+from telestrata.llm.common import fresh, ship, slices, stretches
 
 MARK = "▁"
 NORMAL, BYTE, UNIGRAM, MERGES = 1, 6, 1, 2  # fixed values of the model format
 MEMO = 150_000  # pairs of pieces that a task remembers
 MEMO_CHARACTERS = 2_000_000  # of the words that a task remembers
 LONG = 256  # characters; longer words are walked one by one
-CHUNK = 3 << 20  # bytes of text that a task handles at once; bounds its memory
+CHUNK = 1 << 20  # bytes of text that a task handles at once; bounds its memory
 CHUNK_PIECES = 600_000  # or pieces
 
 
@@ -103,7 +103,7 @@ class Rows:
         self.size, self.longest = size, model.longest
         self.byte_ids, self.unknown = model.byte_ids, model.unknown
         merges: dict[int, int] = {}
-        steps: dict[tuple[int, str], int] = {}
+        steps: dict[int, int] = {}  # by node and character
         ends: dict[int, int] = {}
         for piece, i in ids.items():
             if len(piece) > 1:
@@ -118,17 +118,19 @@ class Rows:
                 self.left[i], self.right[i] = parts
             node = 0
             for c in reversed(piece):
-                node = steps.setdefault((node, c), len(steps) + 1)
+                node = steps.setdefault(node << 21 | ord(c), len(steps) + 1)
             ends[node] = i
         self.letters = sorted(p for p in ids if len(p) == 1)
         self.points = np.array([ord(c) for c in self.letters], np.uint32)
-        code = {c: n for n, c in enumerate(self.letters)}
-        self.strange = np.array(sorted({ord(c) for _, c in steps if c not in code}), np.uint32)
-        known = {(node, code[c]): to for (node, c), to in steps.items() if c in code}
-        keys = [node * size + c for node, c in known]
-        self.steps = Lookup(np.array(keys, np.int64), np.fromiter(known.values(), np.int32))
+        taken, leads = np.fromiter(steps, np.int64), np.fromiter(steps.values(), np.int32)
+        del steps  # every task builds these tables
+        points = taken & (1 << 21) - 1
+        known = np.isin(points, self.points)
+        self.strange = np.unique(points[~known]).astype(np.uint32)
+        keys = (taken[known] >> 21) * size + np.searchsorted(self.points, points[known])
+        self.steps = Lookup(keys, leads[known])
         self.merges = Lookup(np.fromiter(merges, np.int64), np.fromiter(merges.values(), np.int32))
-        self.ends = np.full(len(steps) + 1, -1, np.int32)
+        self.ends = np.full(len(taken) + 1, -1, np.int32)
         self.ends[list(ends)] = list(ends.values())
         self.single = np.array([*(ids[c] for c in self.letters), size - 1], np.int32)
 
@@ -442,10 +444,7 @@ def marked_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def _stretches(texts: pa.Array) -> Iterator[pa.Array]:
-    """The texts of a batch, a bounded number of bytes at a time."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    for a, b in slices(sizes, CHUNK):
-        yield texts.slice(a, b - a)
+    return stretches(texts, CHUNK)
 
 
 def _segmented(model: Model, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -513,8 +512,8 @@ def encoder(shared):
         model = model_of(shared.value)
         try:
             for texts in batches:
-                parts = [_encoded(model, part) for part in _stretches(texts)]
-                yield pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *parts])
+                for part in _stretches(texts):
+                    yield _encoded(model, part)
         finally:
             model.forget()
 
@@ -550,12 +549,11 @@ def coder(shared):
         model = model_of(shared.value)
         try:
             for texts in batches:
-                lists, same = [pa.array([], pa.list_(pa.int32()))], [pa.array([], pa.bool_())]
                 for part in _stretches(texts):
-                    lists.append(_encoded(model, part))
+                    pieces = _encoded(model, part)
                     plain = pc.replace_substring(pc.fill_null(part, ""), MARK, " ")
-                    same.append(pc.equal(_decoded(model, lists[-1]), plain.cast(pa.binary())))
-                yield pa.StructArray.from_arrays([pa.concat_arrays(lists), pa.concat_arrays(same)], ["pieces", "round_trip"])
+                    same = pc.equal(_decoded(model, pieces), plain.cast(pa.binary()))
+                    yield pa.StructArray.from_arrays([pieces, same], ["pieces", "round_trip"])
         finally:
             model.forget()
 

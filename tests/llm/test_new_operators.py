@@ -345,3 +345,20 @@ def test_coding_columns(spark):
     assert [(r.n_pieces, r.round_trip) for r in rows] == [(2, True)] * 2 + [(0, True)]
     both = sentencepiece.with_text(sentencepiece.with_pieces(docs, path, out="ids"), path, "ids")
     assert [r.decoded for r in both.collect()] == ["a b", "a b", ""]
+
+
+def test_pieces_and_masks_leave_in_small_batches(monkeypatch):
+    """No task holds the results of a whole Arrow batch."""
+    from telestrata.llm import pii, sentencepiece
+    from telestrata.llm.queries import vocabulary
+
+    class Shared:
+        with open(vocabulary("piece_bpe_32k.model"), "rb") as file:
+            value = file.read()
+
+    monkeypatch.setattr(sentencepiece.F, "arrow_udf", lambda kind: lambda f: f)
+    texts = [None, "", "mail jo.doe@example.org " * 9000, *["some words of a text " * 500] * 300]
+    batch = pa.array(texts, pa.string())
+    for work in (sentencepiece.coder(Shared), sentencepiece.encoder(Shared), pii._masked_text):
+        sizes = [len(part) for part in work(iter([batch, batch.slice(0, 0)]))]
+        assert sum(sizes) == len(texts) and max(sizes) <= (1 << 20) // len(texts[-1]) + 2
