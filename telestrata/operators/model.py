@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -116,8 +116,13 @@ def _filled(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def score(model: PipelineModel, features: DataFrame, cut: float = 0.5) -> DataFrame:
     """Add the probability of an anomalous window and the class at ``cut``."""
-    names = model.stages[0].getInputCols()
-    scored = model.transform(_filled(features, names))
+    assembler, forest = model.stages
+    names, vector = assembler.getInputCols(), assembler.getOutputCol()
+    if vector in features.columns:
+        raise ValueError(f"the column {vector!r} is taken by the features' vector")
+    # An array costs a row less than the assembler, which turns all columns into objects.
+    values = F.array(*[F.col(c).cast("double") for c in names])
+    scored = forest.transform(_filled(features, names).withColumn(vector, array_to_vector(values)))
     probability = vector_to_array("probability")[1]
     return scored.withColumn("predicted_prob", probability).select(
         *features.columns,
