@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import sentencepiece as library
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from telestrata.llm import pii
+from telestrata.llm.common import BATCH
 from telestrata.llm.queries import vocabulary
 from tests.llm.test_table_operators import brute_classes
 
@@ -68,6 +70,22 @@ def test_stages_on_odd_rows(spark, tmp_path):
     assert all(r.pieces_ == reference.encode(r.text or "") and r.round_trip for r in after)
 
 
+def test_workers_get_rows_a_few_mb_at_a_time(spark):
+    """Long rows come in small batches; a limit that the session sets itself stays."""
+    sizes = F.arrow_udf(lambda batch: pa.array([batch.nbytes] * len(batch), pa.int64()), "long")
+    docs = spark.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a b c d "), 1250).alias("text"))
+    spark.conf.unset(BATCH)
+    try:
+        pii.mask(docs)
+        found = [r[0] for r in docs.select(sizes("text")).collect()]
+        assert len(found) == 2000 and max(found) < 5_000_000
+        spark.conf.set(BATCH, "1000000")
+        pii.mask(docs)
+        assert spark.conf.get(BATCH) == "1000000"
+    finally:
+        spark.conf.unset(BATCH)
+
+
 def test_run_on_empty_documents(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
