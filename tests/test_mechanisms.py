@@ -144,6 +144,33 @@ def test_joined_streams_equal_the_batch(spark, tmp_path, files):
     assert Counter((r.device_id, r.timestamp, r.ack_time) for r in got.collect()) == expected
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("within", [0, 1800])
+def test_acknowledgements_meet_in_bins_of_time(spark, kind, within):
+    """Bounds met exactly or missed by a microsecond, times before 1970, nulls; time is part of the join's key."""
+    draw = random.Random(within)
+    bases = [datetime(1969, 12, 31, 23, 30), datetime(1970, 1, 1), START, START + timedelta(seconds=2 * within)]
+    edges = [timedelta(seconds=s, microseconds=u) for s in (0, within, -within) for u in (-1, 0, 1)]
+    rows = [(i, draw.choice(["a", "b", None]), draw.choice(bases) + draw.choice(edges)) for i in range(60)]
+    rows.append((60, "a", None))
+    acks = [(draw.choice(["a", "b", None]), draw.choice(bases) + draw.choice(edges)) for _ in range(40)] + [("a", None)]
+    left = spark.createDataFrame(rows, "i int, device_id string, timestamp timestamp_ntz")
+    right = spark.createDataFrame(acks, "ack_device string, ack_time timestamp_ntz")
+    left = left.withColumn("timestamp", left["timestamp"].cast(kind))
+    right = right.withColumn("ack_time", right["ack_time"].cast(kind))
+    found = acknowledged(left, right, "1 hour", within)
+    assert found.columns == ["i", "device_id", "timestamp", "ack_device", "ack_time"]
+    expected = Counter()
+    for i, device, t in rows:
+        hits = [a for d, a in acks if device and d == device and t and a and t <= a <= t + timedelta(seconds=within)]
+        expected.update((i, a) for a in hits or [None])
+    shown = found.select("i", found["ack_time"].cast("timestamp_ntz").alias("at"))
+    assert Counter((r.i, r["at"]) for r in shown.collect()) == expected
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+    join = next(x for x in plan.splitlines() if "Join" in x)
+    assert "pmod" in join and "ack_bin" in join
+
+
 def test_correlation_of_many_features(spark):
     """More features than a block, with gaps in pairs and a constant."""
     draw = random.Random(2)
